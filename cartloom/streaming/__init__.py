@@ -1,0 +1 @@
+"""Empty on purpose: the job set is batch only, with no streams, watermarks or state."""
