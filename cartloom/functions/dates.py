@@ -2,48 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The range of a nanosecond timestamp; what lies outside counts as a bad date.
 FIRST_TIMESTAMP = "1677-09-21 00:12:43.145225"
 LAST_TIMESTAMP = "2262-04-11 23:47:16.854775"
 
 
-def parse_timestamp(c: Column, fmt: str | None = None) -> Column:
+def parse_timestamp(column: str, fmt: str | None = None) -> str:
     """Text to a timestamp without zone; unparsable or out-of-range text becomes null.
 
     Without ``fmt`` each value is read as ISO on its own. ``fmt`` needs the UTC session zone.
     """
     if fmt is None:
-        ts = c.try_cast("timestamp_ntz")
+        ts = f"try_cast(`{column}` as timestamp_ntz)"
     else:
-        ts = F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
-    first = F.lit(FIRST_TIMESTAMP).cast("timestamp_ntz")
-    last = F.lit(LAST_TIMESTAMP).cast("timestamp_ntz")
-    return F.when(ts.between(first, last), ts)
+        quoted = fmt.replace("\\", "\\\\").replace("'", "\\'")
+        ts = f"cast(try_to_timestamp(`{column}`, '{quoted}') as timestamp_ntz)"
+    first, last = f"timestamp_ntz'{FIRST_TIMESTAMP}'", f"timestamp_ntz'{LAST_TIMESTAMP}'"
+    return f"if({ts} between {first} and {last}, {ts}, null)"
 
 
-def date_parts(ts: Column) -> dict[str, Column]:
+def date_parts(ts: str) -> dict[str, str]:
     return {
-        "order_date": F.to_date(ts),
-        "order_year": F.year(ts),
-        "order_month": F.month(ts),
-        "order_quarter": F.quarter(ts),
-        "order_dow": F.date_format(ts, "EEEE"),
+        "order_date": f"to_date(`{ts}`)",
+        "order_year": f"year(`{ts}`)",
+        "order_month": f"month(`{ts}`)",
+        "order_quarter": f"quarter(`{ts}`)",
+        "order_dow": f"date_format(`{ts}`, 'EEEE')",
     }
 
 
-def calendar_columns(day: Column) -> dict[str, Column]:
+def calendar_columns(day: str) -> dict[str, str]:
     """Calendar year beside the ISO week; Monday is day 0."""
     return {
-        "date_id": F.date_format(day, "yyyyMMdd").cast("int"),
-        "year": F.year(day),
-        "quarter": F.quarter(day),
-        "month": F.month(day),
-        "month_name": F.date_format(day, "MMMM"),
-        "day": F.dayofmonth(day),
-        "day_of_week": F.weekday(day),
-        "week_of_year": F.weekofyear(day),
-        "is_weekend": F.weekday(day).isin(5, 6),
+        "date_id": f"cast(date_format(`{day}`, 'yyyyMMdd') as int)",
+        "year": f"year(`{day}`)",
+        "quarter": f"quarter(`{day}`)",
+        "month": f"month(`{day}`)",
+        "month_name": f"date_format(`{day}`, 'MMMM')",
+        "day": f"dayofmonth(`{day}`)",
+        "day_of_week": f"weekday(`{day}`)",
+        "week_of_year": f"weekofyear(`{day}`)",
+        "is_weekend": f"weekday(`{day}`) in (5, 6)",
     }

@@ -11,33 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 10_000
-PART_BITS = 20
-# Above this, a double no longer holds whole units.
-WHOLE_UNITS = float(2**53)
 
-
-def exact_sum(c: Column) -> Column:
+def exact_sum(column: str) -> Column:
     """Sum of a double column, 0.0 for a group without values.
 
     Amounts count to four decimals. Amounts of 2**53 units or more (about 9e11), where a double
     has no such decimals left, are added as doubles.
     """
-    c = F.nanvl(c.cast("double"), F.lit(None))
-    scaled = c * F.lit(float(SCALE))
-    whole = F.abs(scaled) < WHOLE_UNITS
-    units = F.when(whole, F.rint(scaled).cast("bigint"))
-    high = F.coalesce(F.sum(F.shiftright(units, PART_BITS)), F.lit(0).cast("bigint"))
-    low = F.coalesce(F.sum(units.bitwiseAND(F.lit(2**PART_BITS - 1))), F.lit(0).cast("bigint"))
-    large = F.sum(F.when(~whole, c))
-
-    carried = high + F.shiftright(low, PART_BITS)
-    rest = low.bitwiseAND(F.lit(2**PART_BITS - 1))
-    fits = F.abs(carried) < 2 ** (53 - PART_BITS)
-    small_total = (F.shiftleft(carried, PART_BITS) + rest).cast("double") / F.lit(float(SCALE))
-    # Needed for large totals only: once per group, not per row.
-    unit = F.lit("0.0001").cast("decimal(4,4)")
-    wide_units = carried.cast("decimal(20,0)") * F.lit(2**PART_BITS).cast("decimal(7,0)")
-    wide_total = ((wide_units + rest.cast("decimal(7,0)")) * unit).cast("double")
-    total = F.when(fits, small_total).otherwise(wide_total)
-    return F.when(large.isNull(), total).otherwise(total + large)
+    amount = f"nanvl(cast(`{column}` as double), null)"
+    whole = f"abs({amount} * 10000D) < {2**53}D"
+    units = f"if({whole}, cast(rint({amount} * 10000D) as bigint), null)"
+    high = f"coalesce(sum(shiftright({units}, 20)), 0L)"
+    low = f"coalesce(sum({units} & {2**20 - 1}L), 0L)"
+    large = f"coalesce(sum(if({whole}, null, {amount})), 0D)"
+    # Below these bounds the total is a whole number that a double holds exactly.
+    return F.expr(
+        f"if(abs({high}) < {2**32}L and {low} < {2**52}L,"
+        f" (shiftleft({high}, 20) + {low}) / 10000D,"
+        f" {high} * 104.8576D + {low} / 10000D) + {large}"
+    )

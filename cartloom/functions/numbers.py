@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-
-def missing_to_null(df: DataFrame, name: str) -> Column:
-    """The column with NaN as null, so that every comparison with a missing number is not true.
+def missing_to_null(column: str) -> str:
+    """The number with NaN as null, so that no comparison with a missing number is true.
 
     Spark orders NaN above all numbers, hence ``NaN >= 0`` would hold.
     """
-    if dict(df.dtypes)[name] in ("double", "float"):
-        return F.nanvl(F.col(name), F.lit(None))
-    return F.col(name)
+    return f"if(isnan(`{column}`), null, `{column}`)"
 
 
-def clip_non_negative(c: Column) -> Column:
+def clip_non_negative(column: str) -> str:
     """Missing and negative numbers become 0.0."""
-    return F.greatest(F.coalesce(c.cast("double"), F.lit(0.0)), F.lit(0.0))
-
-
-def is_true(condition: Column) -> Column:
-    """A condition that is false, not null, where an operand is missing."""
-    return F.coalesce(condition, F.lit(False))
+    return f"greatest(coalesce(cast({missing_to_null(column)} as double), 0D), 0D)"

@@ -13,17 +13,13 @@ WHITESPACE = (
 )
 
 
-def strip_whitespace(c: Column) -> Column:
-    # btrim with a character list compiles into the stage; a regex would run per row.
-    return F.btrim(c, F.lit(WHITESPACE))
-
-
-def normalize_text(c: Column, case: str = "lower", missing: str = "unknown") -> Column:
+def normalize_text(column: str, case: str = "lower", missing: str = "unknown") -> Column:
     """Fill missing, change case, strip - in this order.
 
     Filling comes first, so a missing state reads ``UNKNOWN`` and blank text stays ``''``.
     """
     if case not in ("lower", "upper"):
         raise ValueError(f"case must be 'lower' or 'upper', not {case!r}")
-    filled = F.coalesce(c.cast("string"), F.lit(missing))
-    return strip_whitespace(F.lower(filled) if case == "lower" else F.upper(filled))
+    filled = F.expr(f"{case}(coalesce(cast(`{column}` as string), '{missing}'))")
+    # btrim with a character list compiles into the stage; a regex would run per row.
+    return F.btrim(filled, F.lit(WHITESPACE))

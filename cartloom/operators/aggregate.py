@@ -13,6 +13,6 @@ def agg_dropna(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame
 
 def top_values(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     """How often each value occurs, most frequent first, ties by value; nulls are left out."""
-    counts = agg_dropna(df, [column], F.count(F.lit(1)).alias("count"))
+    counts = agg_dropna(df, [column], F.expr("count(1) as count"))
     ordered = counts.orderBy(F.desc("count"), F.asc(column))
     return ordered if limit is None else ordered.limit(limit)

@@ -12,7 +12,7 @@ def daily_calendar(df: DataFrame, timestamp: str, name: str = "date") -> DataFra
     The series has at most about 214,000 days, as parsed timestamps end in 2262.
     """
     bounds = df.agg(
-        F.to_date(F.min(timestamp)).alias("first"), F.to_date(F.max(timestamp)).alias("last")
+        F.expr(f"to_date(min(`{timestamp}`)) as first"),
+        F.expr(f"to_date(max(`{timestamp}`)) as last"),
     )
-    days = F.sequence("first", "last", F.expr("interval 1 day"))
-    return bounds.select(F.explode(days).alias(name))
+    return bounds.selectExpr(f"explode(sequence(first, last, interval 1 day)) as `{name}`")

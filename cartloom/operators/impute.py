@@ -18,22 +18,18 @@ def impute_median(
     """
     if not columns:
         return df
+    numbers = {c: f"cast({missing_to_null(c)} as double)" for c in columns}
     if method == "exact":
-        rows = exact_quantiles(df, columns, [0.5])
-        entries = F.collect_list(F.struct("column", "quantile"))  # one entry per column
-        medians = rows.agg(F.map_from_entries(entries).alias("medians")).scalar()
+        entries = "map_from_entries(collect_list(struct(column, quantile)))"  # one per column
+        medians = exact_quantiles(df, columns, [0.5]).agg(F.expr(entries)).scalar()
     elif method == "approx":
-        pairs = []
-        for c in columns:
-            number = missing_to_null(df, c).cast("double")
-            pairs += [F.lit(c), F.percentile_approx(number, 0.5, accuracy)]
-        medians = df.agg(F.create_map(*pairs).alias("medians")).scalar()
+        pairs = [f"'{c}', percentile_approx({n}, 0.5D, {accuracy})" for c, n in numbers.items()]
+        medians = df.agg(F.expr(f"map({', '.join(pairs)})")).scalar()
     else:
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
-    filled = {
-        c: F.coalesce(
-            missing_to_null(df, c).cast("double"), F.try_element_at(medians, F.lit(c))
-        )
-        for c in columns
-    }
-    return df.withColumns(filled)
+    return df.withColumns(
+        {
+            c: F.coalesce(F.expr(n), F.try_element_at(medians, F.lit(c)))
+            for c, n in numbers.items()
+        }
+    )

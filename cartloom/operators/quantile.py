@@ -2,20 +2,29 @@
 
 The built-in exact percentile ends in a single task that holds every distinct value. Here the
 values are counted per distinct value, and each wanted rank is narrowed down by histograms:
-first by power of two, then three times by equal-width bins of the range still in question.
-A range within one power of two holds at most 2**52 doubles, so three rounds of 2**18 bins
-always end at a single value, whatever the data. No task sees more than one histogram.
+first on a logarithmic scale with 1024 bins per power of two, then twice with 2**22 bins of
+equal width over the range still in question. One logarithmic bin spans less than 2**43
+doubles, so the second round always ends at a single value, whatever the data. No task sees
+more than one histogram of some four million bins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.functions.numbers import missing_to_null
 
-BINS = 2**18
-ROUNDS = 3
+BINS_PER_POWER = 1024
+BINS = 2**22
+ROUNDS = 2
+
+# Bin number by sign and binary logarithm, ascending with the value; infinities lie outside.
+_LOG_BIN = (
+    f"case when value = 0 then 0 when abs(value) = double('inf') then signum(value) * {10**8}"
+    f" else signum(value) * (floor(log2(abs(value)) * {BINS_PER_POWER}) + {10**7}) end"
+)
+_WIDTH_BIN = f"if(hi > lo, floor((value - lo) / (hi - lo) * {BINS}), 0L)"
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
@@ -23,95 +32,69 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
 
     A column without any value yields no rows.
     """
-    numbers = df.select(*[missing_to_null(df, c).cast("double").alias(c) for c in columns])
+    numbers = df.selectExpr(*[f"cast({missing_to_null(c)} as double) as `{c}`" for c in columns])
     counts = (
         numbers.unpivot([], columns, "column", "value")
         .dropna()
         .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) as n"))
     )
     ranks = _first_ranges(counts, probabilities)
     for _ in range(ROUNDS):
         ranks = _narrow(counts, ranks)
-    low = F.max(F.when(~F.col("upper"), F.col("lo")))
-    high = F.max(F.when(F.col("upper"), F.col("lo")))
-    fraction = F.col("fraction")
+    # Two rows per column and probability are left: one small partition for all of them.
     return (
-        ranks.groupBy("column", "probability", "fraction")
-        .agg(low.alias("low"), high.alias("high"))
-        .select(
+        ranks.repartition(1)
+        .groupBy("column", "probability", "fraction")
+        .agg(
+            F.expr("max(if(upper, null, lo)) as low"), F.expr("max(if(upper, lo, null)) as high")
+        )
+        .selectExpr(
             "column",
             "probability",
-            F.when(F.col("low") == F.col("high"), F.col("low"))
-            .when(fraction == 0.5, (F.col("low") + F.col("high")) / 2)
-            .otherwise(F.col("low") + (F.col("high") - F.col("low")) * fraction)
-            .alias("quantile"),
+            "case when low = high then low when fraction = 0.5D then (low + high) / 2D"
+            " else low + (high - low) * fraction end as quantile",
         )
     )
 
 
-def _power_of_two(value: Column) -> Column:
-    """Bucket number by sign and binary exponent, ascending with the value."""
-    size = F.when(F.abs(value) == float("inf"), F.lit(5000)).otherwise(
-        F.floor(F.log2(F.abs(value))).cast("int") + 2000
-    )
-    return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
-
-
 def _first_ranges(counts: DataFrame, probabilities: list[float]) -> DataFrame:
-    """Per column and wanted rank, the power-of-two range that holds it."""
-    histogram = counts.groupBy("column", _power_of_two(F.col("value")).alias("bin")).agg(
-        F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    """Per column and wanted rank, the logarithmic bin that holds it."""
+    histogram = counts.groupBy("column", F.expr(f"{_LOG_BIN} as bin")).agg(
+        F.expr("sum(n) as n"), F.expr("min(value) as lo"), F.expr("max(value) as hi")
     )
-    per_column = Window.partitionBy("column")
-    wanted = []
-    for p in probabilities:
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        for upper in (False, True):
-            rank = F.ceil(position) if upper else F.floor(position)
-            wanted.append(
-                F.struct(
-                    F.lit(float(p)).alias("probability"),
-                    F.lit(upper).alias("upper"),
-                    (position - F.floor(position)).alias("fraction"),
-                    rank.cast("bigint").alias("rank"),
-                )
-            )
-    ranked = histogram.select(
+    wanted = ", ".join(
+        f"named_struct('probability', double('{p}'), 'upper', {upper},"
+        f" 'fraction', double('{p}') * (total - 1) - floor(double('{p}') * (total - 1)),"
+        f" 'rank', cast({rounding}(double('{p}') * (total - 1)) as bigint))"
+        for p in probabilities
+        for upper, rounding in (("false", "floor"), ("true", "ceil"))
+    )
+    ranked = histogram.selectExpr(
         "column",
         "n",
         "lo",
         "hi",
-        F.sum("n").over(per_column.orderBy("bin")).alias("upto"),
-        F.sum("n").over(per_column).alias("total"),
+        "sum(n) over (partition by column order by bin) as upto",
+        "sum(n) over (partition by column) as total",
     )
-    return _holding_rank(ranked.select("*", F.inline(F.array(*wanted))))
+    return _holding_rank(ranked.selectExpr("*", f"inline(array({wanted}))"))
 
 
 def _narrow(counts: DataFrame, ranks: DataFrame) -> DataFrame:
     """Split the range around each rank into bins and keep the bin that holds the rank."""
     # Two rows per column and probability, by construction.
-    ranges = F.broadcast(ranks)
-    within = counts.join(ranges, "column").filter(F.col("value").between(F.col("lo"), F.col("hi")))
-    offset = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-    bin_number = F.when(F.col("hi") > F.col("lo"), F.floor(offset * BINS)).otherwise(F.lit(0))
+    within = counts.join(F.broadcast(ranks), "column").filter("value between lo and hi")
     target = ["column", "probability", "upper", "fraction", "rank"]
-    histogram = within.groupBy(*target, bin_number.cast("int").alias("bin")).agg(
-        F.sum(counts["n"]).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    histogram = within.groupBy(*target, F.expr(f"{_WIDTH_BIN} as bin")).agg(
+        F.expr("sum(n) as n"), F.expr("min(value) as lo"), F.expr("max(value) as hi")
     )
-    upto = F.sum("n").over(Window.partitionBy(*target).orderBy("bin"))
-    return _holding_rank(histogram.withColumn("upto", upto))
+    upto = f"sum(n) over (partition by {', '.join(target)} order by bin) as upto"
+    return _holding_rank(histogram.selectExpr("*", upto))
 
 
 def _holding_rank(bins: DataFrame) -> DataFrame:
     """The bin that holds the rank, with the rank counted from the start of that bin."""
-    before = F.col("upto") - F.col("n")
-    return bins.filter((before <= F.col("rank")) & (F.col("rank") < F.col("upto"))).select(
-        "column",
-        "probability",
-        "upper",
-        "fraction",
-        (F.col("rank") - before).alias("rank"),
-        "lo",
-        "hi",
+    return bins.filter("upto - n <= rank and rank < upto").selectExpr(
+        "column", "probability", "upper", "fraction", "rank - (upto - n) as rank", "lo", "hi"
     )

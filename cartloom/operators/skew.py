@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 SALTS = 1024
 MAX_HOT_KEYS = 1000
-SAMPLE_FRACTION = 0.001
+SAMPLE_FRACTION = 0.01
 MIN_SAMPLE_COUNT = 32
 
 ROW_SALT = "_row_salt"
@@ -21,22 +21,25 @@ def hot_keys(
 ) -> dict[str, list]:
     """Per column, the keys (null included) that hold more than 1/1000 of a row sample.
 
-    At most 1000 keys can do so, which bounds what comes back to the driver. The sample decides
-    only which keys get spread; no result depends on it.
+    Fewer than 1000 keys can do so, which bounds what comes back to the driver. The sample
+    decides only which keys get spread; no result depends on it.
     """
     sample = df if fraction >= 1 else df.sample(fraction=fraction, seed=7)
-    tagged = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("k")) for c in columns]
+    tags = [f"struct('{c}' as c, cast(`{c}` as string) as k)" for c in columns]
+    # The first tag is the same for every row and counts them all.
+    every = "struct('' as c, cast(null as string) as k)"
+    largest = (
+        sample.selectExpr(f"inline(array({', '.join([every, *tags])}))")
+        .groupBy("c", "k")
+        .agg(F.expr("count(1) as n"))
+        .filter(F.expr(f"n >= {min_count}"))
+        .orderBy(F.desc("n"))
+        .limit(MAX_HOT_KEYS * len(columns) + 1)
+        .collect()
     )
-    sizes = (
-        sample.select(F.inline(tagged))
-        .groupBy("column", "k")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_count)
-    )
-    total = sample.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = sizes.filter(F.col("n") * MAX_HOT_KEYS > total).select("column", "k").collect()
-    return {c: [row.k for row in hot if row.column == c] for c in columns}
+    total = max((row.n for row in largest if row.c == ""), default=0)
+    hot = [row for row in largest if row.n * MAX_HOT_KEYS > total]
+    return {c: [row.k for row in hot if row.c == c] for c in columns}
 
 
 def with_row_salt(df: DataFrame) -> DataFrame:
@@ -44,8 +47,8 @@ def with_row_salt(df: DataFrame) -> DataFrame:
 
     Call it on a scan: there the row position is the same when a lost task runs again.
     """
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))
-    return df.withColumn(ROW_SALT, spread.cast("int"))
+    spread = f"cast(pmod(xxhash64(monotonically_increasing_id()), {SALTS}) as int)"
+    return df.selectExpr("*", f"{spread} as {ROW_SALT}")
 
 
 def salted_join(
@@ -63,10 +66,10 @@ def salted_join(
         return left.join(right, key, how)
     salt = "_join_salt"
     left_salt = F.when(_is_hot(key, hot), F.col(ROW_SALT)).otherwise(F.lit(0))
-    all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    right_salts = F.when(_is_hot(key, hot), all_salts).otherwise(F.array(F.lit(0)))
+    all_salts = F.expr(f"sequence(0, {SALTS - 1})")
+    right_salts = F.when(_is_hot(key, hot), all_salts).otherwise(F.expr("array(0)"))
     spread = left.withColumn(salt, left_salt)
-    repeated = right.filter(F.col(key).isNotNull()).withColumn(salt, F.explode(right_salts))
+    repeated = right.dropna(subset=[key]).withColumn(salt, F.explode(right_salts))
     return spread.join(repeated, [key, salt], how).drop(salt)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartloom.functions import calendar_columns
 from cartloom.operators import daily_calendar, dedupe_first
@@ -22,7 +21,7 @@ def build_dim_products(products: DataFrame, unique: bool = False) -> DataFrame:
 def build_dim_date(orders: DataFrame) -> DataFrame:
     """One row per day between the first and the last purchase; no rows without valid dates."""
     if "order_purchase_timestamp" not in orders.columns:
-        undated = F.lit(None).cast("timestamp_ntz").alias("order_purchase_timestamp")
-        orders = orders.select(undated)
+        orders = orders.selectExpr("cast(null as timestamp_ntz) as order_purchase_timestamp")
     days = daily_calendar(orders, "order_purchase_timestamp")
-    return days.withColumns(calendar_columns(F.col("date")))
+    parts = calendar_columns("date")
+    return days.selectExpr("date", *[f"{sql} as {name}" for name, sql in parts.items()])

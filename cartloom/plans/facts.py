@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions import exact_sum, is_true, missing_to_null
+from cartloom.functions import exact_sum, missing_to_null
 from cartloom.operators import agg_dropna, hot_keys, salted_join, with_row_salt
 from cartloom.operators.skew import ROW_SALT
 
@@ -16,17 +16,17 @@ def build_payment_summary(payments: DataFrame) -> DataFrame:
     Types are counted in two steps (per order and type, then per order), so no task gathers
     the types of an order with very many payments.
     """
-    kind = F.col("payment_type")
-    summary = agg_dropna(
+    installments = f"max({missing_to_null('payment_installments')})"
+    return agg_dropna(
         payments,
         ["order_id"],
-        exact_sum(F.col("payment_value")).alias("total_payment_value"),
-        F.count_distinct(kind).alias("payment_methods_count"),
-        F.max(missing_to_null(payments, "payment_installments")).alias("max_installments"),
-        is_true(F.bool_or(kind == "voucher")).alias("has_voucher"),
-        is_true(F.bool_or(kind == "credit_card")).alias("has_credit_card"),
+        exact_sum("payment_value").alias("total_payment_value"),
+        F.expr("count(distinct payment_type) as payment_methods_count"),
+        F.expr(f"{installments} as max_installments"),
+        F.expr("coalesce(bool_or(payment_type = 'voucher'), false) as has_voucher"),
+        F.expr("coalesce(bool_or(payment_type = 'credit_card'), false) as has_credit_card"),
+        F.expr(f"coalesce({installments} > 1, false) as is_installment"),
     )
-    return summary.withColumn("is_installment", is_true(F.col("max_installments") > 1))
 
 
 def build_fact_orders(
@@ -40,30 +40,30 @@ def build_fact_orders(
     item_totals = agg_dropna(
         order_items,
         ["order_id"],
-        exact_sum(F.col("price")).alias("total_item_revenue"),
-        exact_sum(F.col("shipping_charges")).alias("total_shipping_cost"),
-        F.count("product_id").alias("item_count"),
+        exact_sum("price").alias("total_item_revenue"),
+        exact_sum("shipping_charges").alias("total_shipping_cost"),
+        F.expr("count(product_id) as item_count"),
     )
     joined = orders.join(item_totals, "order_id", "left").join(
         build_payment_summary(payments), "order_id", "left"
     )
-    zero, none, no = F.lit(0.0), F.lit(0).cast("bigint"), F.lit(False)
-    fill = {
-        "total_item_revenue": zero,
-        "total_shipping_cost": zero,
-        "item_count": none,
-        "total_payment_value": zero,
-        "payment_methods_count": none,
-        "has_voucher": no,
-        "has_credit_card": no,
-        "is_installment": no,
-    }
-    filled = joined.withColumns({c: F.coalesce(F.col(c), default) for c, default in fill.items()})
-    order_value = F.col("total_item_revenue") + F.col("total_shipping_cost")
-    fact = filled.withColumn("total_order_value", order_value).withColumn(
-        "payment_diff", F.col("total_payment_value") - F.col("total_order_value")
+    revenue = "coalesce(total_item_revenue, 0D)"
+    shipping = "coalesce(total_shipping_cost, 0D)"
+    paid = "coalesce(total_payment_value, 0D)"
+    return joined.selectExpr(
+        *[f"`{c}`" for c in orders.columns],
+        f"{revenue} as total_item_revenue",
+        f"{shipping} as total_shipping_cost",
+        "coalesce(item_count, 0L) as item_count",
+        f"{paid} as total_payment_value",
+        "coalesce(payment_methods_count, 0L) as payment_methods_count",
+        "max_installments",
+        "coalesce(has_voucher, false) as has_voucher",
+        "coalesce(has_credit_card, false) as has_credit_card",
+        "coalesce(is_installment, false) as is_installment",
+        f"{revenue} + {shipping} as total_order_value",
+        f"{paid} - ({revenue} + {shipping}) as payment_diff",
     )
-    return _in_order_of(fact, orders)
 
 
 def build_fact_order_items(
@@ -89,14 +89,11 @@ def build_fact_order_items(
     if has_category:
         categories = products.select("product_id", "product_category_name")
         fact = salted_join(fact, categories, "product_id", "left", hot.get("product_id"))
-    return _in_order_of(fact.drop(ROW_SALT), order_items)
+    # The items' own columns first, as they were.
+    base = order_items.columns
+    return fact.select(*base, *[c for c in fact.columns if c not in [*base, ROW_SALT]])
 
 
 def build_fact_payments(payments: DataFrame) -> DataFrame:
     """One row per valid payment: the staged table as it is."""
     return payments
-
-
-def _in_order_of(fact: DataFrame, base: DataFrame) -> DataFrame:
-    """The columns of ``base`` first, as they were, then the added ones."""
-    return fact.select(*base.columns, *[c for c in fact.columns if c not in base.columns])

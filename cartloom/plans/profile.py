@@ -15,9 +15,9 @@ from cartloom.plans.quality import missing_columns, unique
 def table_shape(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: rows, number of columns, column list."""
     shapes = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
+        df.agg(
             F.lit(name).alias("table"),
-            "rows",
+            F.expr("count(1) as rows"),
             F.lit(len(df.columns)).alias("columns"),
             F.lit(", ".join(df.columns)).alias("column_list"),
         )
@@ -28,37 +28,35 @@ def table_shape(tables: dict[str, DataFrame]) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """Columns with missing values and how many; one pass over the table."""
-    counted = df.agg(
-        *[F.count_if(missing_to_null(df, c).isNull()).alias(c) for c in df.columns]
-    )
-    return counted.unpivot([], df.columns, "column", "nulls").filter(F.col("nulls") > 0)
+    missing = {
+        name: f"`{name}` is null or isnan(`{name}`)"
+        if kind in ("double", "float")
+        else f"`{name}` is null"
+        for name, kind in df.dtypes
+    }
+    counted = df.agg(*[F.expr(f"count_if({m}) as `{c}`") for c, m in missing.items()])
+    return counted.unpivot([], df.columns, "column", "nulls").filter("nulls > 0")
 
 
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows beyond the first per business key."""
-    return df.agg(unique(*keys).count.alias("duplicates"))
+    return df.agg(F.expr(unique(*keys).count).alias("duplicates"))
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact interpolated quartiles per column."""
     measures = []
     for c in columns:
-        number = missing_to_null(df, c).cast("double")
+        number = f"cast({missing_to_null(c)} as double)"
         measures.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(number).alias("count"),
-                F.avg(number).alias("mean"),
-                F.stddev_samp(number).alias("std"),
-                F.min(number).alias("min"),
-                F.max(number).alias("max"),
-            ).alias(c)
+            f"struct('{c}' as `column`, count({number}) as count, avg({number}) as mean,"
+            f" stddev_samp({number}) as std, min({number}) as min, max({number}) as max)"
         )
-    basics = df.agg(*measures).select(F.inline(F.array(*columns)))
+    basics = df.agg(F.expr(f"array({', '.join(measures)}) as rows")).selectExpr("inline(rows)")
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     wide = quartiles.groupBy("column").agg(
         *[
-            F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
+            F.expr(f"max(if(probability = double('{p}'), quantile, null)) as {name}")
             for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
         ]
     )
@@ -71,8 +69,8 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 def revenue_totals(fact_orders: DataFrame, status: str = "delivered") -> DataFrame:
     sold = fact_orders.filter(F.col("order_status") == status)
     return sold.agg(
-        exact_sum(F.col("total_order_value")).alias("total_order_value"),
-        exact_sum(F.col("total_payment_value")).alias("total_payment_value"),
+        exact_sum("total_order_value").alias("total_order_value"),
+        exact_sum("total_payment_value").alias("total_payment_value"),
     )
 
 

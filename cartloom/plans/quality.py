@@ -9,10 +9,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions import is_true
 from cartloom.params import JobParams
 from cartloom.schemas import MART_TABLES, REQUIRED_FACT_COLUMNS
 
@@ -27,60 +26,61 @@ class DataQualityError(ValueError):
 class Rule:
     name: str
     column: str
-    count: Column
+    count: str
 
 
 def not_null(column: str) -> Rule:
-    return Rule("not_null", column, F.count_if(F.col(column).isNull()))
+    return Rule("not_null", column, f"count_if(`{column}` is null)")
 
 
 def non_negative(column: str) -> Rule:
-    return Rule("non_negative", column, F.count_if(F.col(column) < 0))
+    return Rule("non_negative", column, f"count_if(`{column}` < 0)")
 
 
 def unique(*columns: str) -> Rule:
     """Rows beyond the first per key; null keys count as equal (a struct is never null)."""
-    keys = F.count_distinct(F.struct(*columns))
-    return Rule("unique", ",".join(columns), F.count(F.lit(1)) - keys)
+    key = ", ".join(f"`{c}`" for c in columns)
+    return Rule("unique", ",".join(columns), f"count(1) - count(distinct struct({key}))")
 
 
 def allowed_values(column: str, allowed: tuple[str, ...]) -> Rule:
     """Null is not allowed, and an empty list allows nothing."""
-    return Rule("allowed_values", column, F.count_if(_not_allowed(column, allowed)))
+    return Rule("allowed_values", column, f"count_if({_not_allowed(column, allowed)})")
 
 
 def not_empty() -> Rule:
-    return Rule("not_empty", "*", F.when(F.count(F.lit(1)) == 0, 1).otherwise(0))
+    return Rule("not_empty", "*", "if(count(1) = 0, 1, 0)")
 
 
-def _not_allowed(column: str, allowed: tuple[str, ...]) -> Column:
-    return ~is_true(F.col(column).isin(*allowed))
+def _not_allowed(column: str, allowed: tuple[str, ...]) -> str:
+    if not allowed:
+        return "true"
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in allowed)
+    values = ", ".join(f"'{v}'" for v in quoted)
+    return f"not coalesce(`{column}` in ({values}), false)"
 
 
 def invalid_values(df: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
     """Every value that is not allowed, null included, with its number of rows."""
     bad = df.filter(_not_allowed(column, allowed))
-    return bad.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+    return bad.groupBy(column).agg(F.expr("count(1) as rows"))
 
 
 def check_table(df: DataFrame, layer: str, table: str, rules: list[Rule]) -> DataFrame:
-    counted = df.agg(*[r.count.cast("bigint").alias(f"r{i}") for i, r in enumerate(rules)])
-    rows = [
-        F.struct(
-            F.lit(layer).alias("layer"),
-            F.lit(table).alias("table"),
-            F.lit(r.name).alias("rule"),
-            F.lit(r.column).alias("column"),
-            F.col(f"r{i}").alias("violations"),
-        )
+    counted = df.agg(
+        *[F.expr(f"cast({r.count} as bigint) as r{i}") for i, r in enumerate(rules)]
+    )
+    rows = ", ".join(
+        f"struct('{layer}' as layer, '{table}' as `table`, '{r.name}' as rule,"
+        f" '{r.column}' as `column`, r{i} as violations)"
         for i, r in enumerate(rules)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    )
+    return counted.selectExpr(f"inline(array({rows}))")
 
 
 def check_not_empty(df: DataFrame, layer: str, table: str) -> DataFrame:
     """Looks for a single row instead of counting the table."""
-    return check_table(df.select(F.lit(1)).limit(1), layer, table, [not_empty()])
+    return check_table(df.selectExpr("1").limit(1), layer, table, [not_empty()])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from cartloom.functions import (
     clip_non_negative,
     date_parts,
-    is_true,
     missing_to_null,
     normalize_text,
     parse_timestamp,
@@ -20,11 +19,15 @@ from cartloom.schemas import ORDER_TIMESTAMPS, PRODUCT_MEASURES
 def clean_orders(df: DataFrame, timestamp_format: str | None = None) -> DataFrame:
     """First row per order, all statuses kept; timestamps parsed, date parts added."""
     orders = dedupe_first(df, "order_id")
-    present = [c for c in ORDER_TIMESTAMPS if c in orders.columns]
-    orders = orders.withColumns({c: parse_timestamp(F.col(c), timestamp_format) for c in present})
-    if "order_purchase_timestamp" in present:
-        orders = orders.withColumns(date_parts(F.col("order_purchase_timestamp")))
-    return orders
+    present = [c for c in ORDER_TIMESTAMPS if c in df.columns]
+    if not present:
+        return orders
+    parsed = {c: F.expr(parse_timestamp(c, timestamp_format)) for c in present}
+    orders = orders.withColumns(parsed)
+    if "order_purchase_timestamp" not in present:
+        return orders
+    parts = date_parts("order_purchase_timestamp")
+    return orders.selectExpr("*", *[f"{sql} as {name}" for name, sql in parts.items()])
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
@@ -32,7 +35,7 @@ def clean_customers(df: DataFrame) -> DataFrame:
     customers = dedupe_first(df, "customer_id")
     cases = {"customer_city": "lower", "customer_state": "upper"}
     return customers.withColumns(
-        {c: normalize_text(F.col(c), case) for c, case in cases.items() if c in df.columns}
+        {c: normalize_text(c, case) for c, case in cases.items() if c in df.columns}
     )
 
 
@@ -42,29 +45,28 @@ def clean_products(df: DataFrame, median_method: str = "exact") -> DataFrame:
     The median is that of the deduplicated rows.
     """
     products = dedupe_first(df, "product_id")
-    if "product_category_name" in products.columns:
-        category = normalize_text(F.col("product_category_name"))
+    if "product_category_name" in df.columns:
+        category = normalize_text("product_category_name")
         products = products.withColumn("product_category_name", category)
-    measures = [c for c in PRODUCT_MEASURES if c in products.columns]
+    measures = [c for c in PRODUCT_MEASURES if c in df.columns]
     return impute_median(products, measures, median_method)
 
 
 def clean_payments(df: DataFrame) -> DataFrame:
     """Payments of a known value from zero up; one row stays one transaction."""
-    payments = df
+    payments = df.filter(f"{missing_to_null('payment_value')} >= 0")
     if "payment_type" in df.columns:
-        payments = payments.withColumn("payment_type", normalize_text(F.col("payment_type")))
-    payments = payments.filter(missing_to_null(df, "payment_value") >= 0)
+        payments = payments.withColumn("payment_type", normalize_text("payment_type"))
     if "payment_installments" in df.columns:
-        several = is_true(missing_to_null(df, "payment_installments") > 1)
-        payments = payments.withColumn("is_installment", several)
+        several = f"coalesce({missing_to_null('payment_installments')} > 1, false)"
+        payments = payments.withColumn("is_installment", F.expr(several))
     return payments
 
 
 def clean_order_items(df: DataFrame) -> DataFrame:
     """Missing and negative amounts become zero; the item total is added."""
     amounts = [c for c in ("price", "shipping_charges") if c in df.columns]
-    items = df.withColumns({c: clip_non_negative(missing_to_null(df, c)) for c in amounts})
+    items = df.withColumns({c: F.expr(clip_non_negative(c)) for c in amounts})
     if len(amounts) == 2:
-        items = items.withColumn("item_total", F.col("price") + F.col("shipping_charges"))
+        items = items.withColumn("item_total", F.expr("price + shipping_charges"))
     return items

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Without it every column expression records its call site, which slows plan building.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
