@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def agg_dropna(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
     """Aggregate per key, leaving out rows where any key is null."""
-    return df.dropna(subset=keys).groupBy(*keys).agg(*aggregates)
+    known = " and ".join(f"`{k}` is not null" for k in keys)
+    return df.filter(known).groupBy(*keys).agg(*aggregates)
 
 
 def top_values(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
