@@ -85,7 +85,7 @@ def build_marts(warehouse: dict[str, DataFrame], params: JobParams) -> dict[str,
     }
 
 
-class _Metrics:
+class Metrics:
     """Row counts taken while the tables are written, without extra passes."""
 
     def __init__(self) -> None:
@@ -94,21 +94,25 @@ class _Metrics:
     def watch(self, df: DataFrame, table: str, step: str) -> DataFrame:
         observation = Observation(f"{table}-{step}")
         self._seen.append((table, step, observation))
-        return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        return df.observe(observation, F.expr("count(1) as rows"))
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(table, step, o.get["rows"]) for table, step, o in self._seen]
+        rows = [(table, step, o.get.get("rows", 0)) for table, step, o in self._seen]
         return spark.createDataFrame(rows, "table string, step string, rows bigint")
 
 
-def _materialise(
-    spark: SparkSession, tables: dict[str, DataFrame], folder: str, metrics: _Metrics
+def materialise(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    folder: str,
+    metrics: Metrics | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the tables to the shared folder and read them back.
+    """Write the tables to a shared folder and read them back.
 
     Rules and later layers then start from files: nothing is computed twice, and losing
     executors costs no more than the stage they were in.
     """
+    metrics = metrics or Metrics()
     watched = {name: metrics.watch(df, name, "built") for name, df in tables.items()}
     run_together(
         spark,
@@ -126,10 +130,10 @@ def run(
     """Run the whole job. A layer is written only after all its rules held."""
     raw = extract_all(spark, params) if raw is None else raw
     work = scratch_folder(spark, "job")
-    metrics = _Metrics()
+    metrics = Metrics()
     try:
         read = {name: metrics.watch(df, name, "read") for name, df in raw.items()}
-        staged = _materialise(spark, build_staging(read, params), f"{work}/staging", metrics)
+        staged = materialise(spark, build_staging(read, params), f"{work}/staging", metrics)
         statuses = quality.invalid_values(
             staged["orders"], "order_status", params.valid_order_statuses
         )
@@ -142,8 +146,8 @@ def run(
         # Both are staged tables as they are; no need to write them a second time here.
         ready = {name: built.pop(name) for name in ("dim_customers", "dim_products")}
         ready["fact_payments"] = built.pop("fact_payments")
-        warehouse = {**ready, **_materialise(spark, built, f"{work}/warehouse", metrics)}
-        mart_tables = _materialise(
+        warehouse = {**ready, **materialise(spark, built, f"{work}/warehouse", metrics)}
+        mart_tables = materialise(
             spark, build_marts(warehouse, params), f"{work}/marts", metrics
         )
         quality.enforce(quality.validate_warehouse(warehouse, mart_tables))

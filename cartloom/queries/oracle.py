@@ -26,7 +26,7 @@ CTES |= {
     "parsed_orders": """
         select order_id, customer_id, order_status,
           try_cast(order_purchase_timestamp as timestamp) as order_purchase_timestamp
-        from raw_orders""",
+        from (select distinct on (order_id) * from raw_orders)""",
     "stg_orders": """
         select *, cast(order_purchase_timestamp as date) as order_date,
           cast(year(order_purchase_timestamp) as int) as order_year,
@@ -37,13 +37,14 @@ CTES |= {
     "stg_customers": """
         select customer_id, trim(lower(coalesce(customer_city, 'unknown'))) as customer_city,
           trim(upper(coalesce(customer_state, 'unknown'))) as customer_state
-        from raw_customers""",
+        from (select distinct on (customer_id) * from raw_customers)""",
+    "first_products": "select distinct on (product_id) * from raw_products",
     "stg_products": """
         select product_id,
           trim(lower(coalesce(product_category_name, 'unknown'))) as product_category_name,
-          coalesce(product_weight_g, (select median(product_weight_g) from raw_products))
+          coalesce(product_weight_g, (select median(product_weight_g) from first_products))
             as product_weight_g
-        from raw_products""",
+        from first_products""",
     "stg_payments": """
         select order_id, trim(lower(coalesce(payment_type, 'unknown'))) as payment_type,
           payment_installments, payment_value,
@@ -360,8 +361,7 @@ def _job_rows() -> str:
 
 
 def _snapshots() -> str:
-    one = f"""{_rows()} as "rows", round(cast(sum(cast(payment_value as decimal(18,2)))
-      as double), 2) as total_value from stg_payments"""
+    one = f"""{_rows()} as "rows", {_sum("payment_value")} as total_value from stg_payments"""
     return "\nunion all\n".join(
         f"select '{dt}' as dt, {one}" for dt in ("2024-01-01", "2024-01-02", "latest")
     )

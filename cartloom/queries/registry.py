@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartloom.functions import exact_sum
 from cartloom.operators import (
     agg_dropna,
     dedupe_first,
@@ -17,7 +18,7 @@ from cartloom.operators import (
 from cartloom.params import JobParams
 from cartloom.plans import dims, facts, job, marts, profile, quality, staging
 from cartloom.schemas import REQUIRED_FACT_COLUMNS
-from cartloom.sinks import latest_path, load_warehouse, publish, scratch_folder
+from cartloom.sinks import drop_scratch, latest_path, load_warehouse, publish, scratch_folder
 from cartloom.sinks.snapshots import snapshot_path
 from cartloom.sources import extract_all, raw_from_benchmark
 from cartloom.sources.benchmark_tables import RAW_SQL, read_benchmark
@@ -171,8 +172,19 @@ def dq_invalid_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_warehouse(spark: SparkSession, folder: str) -> DataFrame:
-    warehouse = job.build_warehouse(_staged(spark, folder))
-    return quality.validate_warehouse(warehouse, job.build_marts(warehouse, PARAMS))
+    """The warehouse and mart rules over facts that are written once, as in the job."""
+    work = scratch_folder(spark, "warehouse")
+    staged = job.materialise(spark, _staged(spark, folder), f"{work}/staging")
+    warehouse = job.materialise(spark, job.build_warehouse(staged), f"{work}/warehouse")
+    found = quality.validate_warehouse(warehouse, job.build_marts(warehouse, PARAMS))
+    return _kept(spark, found, work)
+
+
+def _kept(spark: SparkSession, small: DataFrame, work: str) -> DataFrame:
+    """A frame of one row per rule or snapshot, kept while its working folder is dropped."""
+    result = spark.createDataFrame(small.collect(), small.schema)
+    drop_scratch(spark, work)
+    return result
 
 
 def dq_unique_composite(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,7 +207,7 @@ def dq_required_columns(spark: SparkSession, folder: str) -> DataFrame:
         missing = quality.missing_columns(raw[table], REQUIRED_FACT_COLUMNS[fact])
         frames.append(
             raw[table]
-            .agg(F.count(F.lit(1)).alias("rows"))
+            .agg(F.expr("count(1) as rows"))
             .select(
                 F.lit(fact).alias("table"), "rows", F.lit(",".join(missing)).alias("missing")
             )
@@ -294,12 +306,10 @@ def snapshot_rerun(spark: SparkSession, folder: str) -> DataFrame:
     every = dated.withColumn("dt", F.col("dt").cast("string")).unionByName(
         latest.withColumn("dt", F.lit("latest"))
     )
-    return agg_dropna(
-        every,
-        ["dt"],
-        F.count(F.lit(1)).alias("rows"),
-        F.round(F.sum("payment_value"), 2).alias("total_value"),
+    sums = agg_dropna(
+        every, ["dt"], F.expr("count(1) as rows"), exact_sum("payment_value").alias("total_value")
     )
+    return _kept(spark, sums, base)
 
 
 def publish_replace(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,21 +327,23 @@ def publish_replace(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(publish(mart, params)[0])
 
 
-def _run_job(spark: SparkSession, folder: str) -> tuple[JobParams, job.JobResult]:
+def _run_job(spark: SparkSession, folder: str) -> tuple[str, JobParams, job.JobResult]:
     base = scratch_folder(spark, "run")
     params = PARAMS.with_(staging_base=f"{base}/staging", warehouse_base=f"{base}/warehouse")
-    return params, job.run(spark, params, raw_from_benchmark(spark, folder))
+    return base, params, job.run(spark, params, raw_from_benchmark(spark, folder))
 
 
 def job_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows read and built per table, counted while the whole job writes its layers."""
-    return _run_job(spark, folder)[1].metrics
+    base, _, result = _run_job(spark, folder)
+    drop_scratch(spark, base)
+    return result.metrics
 
 
 def job_output_check(spark: SparkSession, folder: str) -> DataFrame:
     """Every rule over the tables the whole job published."""
-    params, _ = _run_job(spark, folder)
-    return job.check_published(spark, params).violations
+    base, params, _ = _run_job(spark, folder)
+    return _kept(spark, job.check_published(spark, params).violations, base)
 
 
 QUERIES: dict[str, Query] = {

@@ -9,7 +9,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartloom.params import JobParams
 
@@ -29,27 +28,24 @@ def save_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def save_snapshot(df: DataFrame, base: str, table: str, run_date: str) -> None:
-    """Replace the run date's partition and leave the other dates alone."""
+def save_snapshot(df: DataFrame, base: str, table: str, run_date: str) -> str:
+    """Replace the run date's partition and leave the other dates alone.
+
+    The partition folder is the target, so a rerun without rows also replaces the old rows; a
+    dynamic partition overwrite would keep them.
+    """
     if "dt" in df.columns:
         raise ValueError(f"Table '{table}' already has a column 'dt'")
-    (
-        df.withColumn("dt", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("dt")
-        .parquet(snapshot_path(base, table))
-    )
+    path = f"{snapshot_path(base, table)}/dt={run_date}"
+    save_parquet(df, path)
+    return path
 
 
 def _load_table(df: DataFrame, base: str, table: str, params: JobParams) -> None:
     if params.write_partitioned:
-        save_snapshot(df, base, table, params.run_date)
+        path = save_snapshot(df, base, table, params.run_date)
         # The copy starts from the files just written, not from the table's whole lineage.
-        df = df.sparkSession.read.schema(df.schema).parquet(
-            f"{snapshot_path(base, table)}/dt={params.run_date}"
-        )
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
     if params.write_latest:
         save_parquet(df, latest_path(base, table))
 

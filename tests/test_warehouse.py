@@ -1,0 +1,281 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import plan, rows
+
+from cartloom.plans import dims, facts, marts, staging
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    orders = spark.createDataFrame(
+        [("1", "c1"), ("2", "c2")], "order_id string, customer_id string"
+    )
+    items = spark.createDataFrame(
+        [("1", "p1", 10.0, 5.0), ("1", "p2", 20.0, 5.0), ("2", "p3", 15.0, 5.0)],
+        "order_id string, product_id string, price double, shipping_charges double",
+    )
+    payments = spark.createDataFrame(
+        [("1", "credit_card", 40.0, 1), ("2", "voucher", 10.0, 1), ("2", "credit_card", 10.0, 2)],
+        "order_id string, payment_type string, payment_value double, payment_installments int",
+    )
+    return orders, items, payments
+
+
+def test_fact_orders_has_one_row_per_order(small):
+    first, second = rows(facts.build_fact_orders(*small), "order_id")
+    assert first == {
+        "order_id": "1",
+        "customer_id": "c1",
+        "total_item_revenue": 30.0,
+        "total_shipping_cost": 10.0,
+        "item_count": 2,
+        "total_payment_value": 40.0,
+        "payment_methods_count": 1,
+        "max_installments": 1,
+        "has_voucher": False,
+        "has_credit_card": True,
+        "is_installment": False,
+        "total_order_value": 40.0,
+        "payment_diff": 0.0,
+    }
+    assert second["item_count"] == 1 and second["payment_methods_count"] == 2
+    assert second["has_voucher"] and second["has_credit_card"] and second["is_installment"]
+
+
+def test_fact_orders_without_items_and_payments(small):
+    orders, items, payments = small
+    fact = facts.build_fact_orders(orders, items.limit(0), payments.limit(0))
+    first = rows(fact, "order_id")[0]
+    assert first["total_order_value"] == 0.0 and first["payment_diff"] == 0.0
+    assert first["item_count"] == 0 and first["payment_methods_count"] == 0
+    assert first["max_installments"] is None
+    assert first["has_voucher"] is False and first["is_installment"] is False
+    assert fact.columns == facts.build_fact_orders(*small).columns
+
+
+def test_fact_orders_counts_known_products_and_sums_missing_as_zero(spark, small):
+    orders, _, payments = small
+    items = spark.createDataFrame(
+        [("1", "p1", None, 1.0), ("1", None, None, 2.0)],
+        "order_id string, product_id string, price double, shipping_charges double",
+    )
+    first = rows(facts.build_fact_orders(orders, items, payments), "order_id")[0]
+    assert first["item_count"] == 1
+    assert first["total_item_revenue"] == 0.0 and first["total_shipping_cost"] == 3.0
+
+
+def test_payment_summary_flags_without_types(spark):
+    payments = spark.createDataFrame(
+        [("1", None, 1.0, None), (None, "voucher", 1.0, 5)],
+        "order_id string, payment_type string, payment_value double, payment_installments int",
+    )
+    assert rows(facts.build_payment_summary(payments)) == [
+        {
+            "order_id": "1",
+            "total_payment_value": 1.0,
+            "payment_methods_count": 0,
+            "max_installments": None,
+            "has_voucher": False,
+            "has_credit_card": False,
+            "is_installment": False,
+        }
+    ]
+
+
+def test_fact_orders_shuffles_each_input_once_by_order(spark, small):
+    text = plan(facts.build_fact_orders(*small))
+    # Orders, items, payments by order, and payments by order and type for the distinct count.
+    assert text.count("Exchange hashpartitioning(order_id") <= 4
+    assert "collect_set" not in text
+
+
+ITEM_COLUMNS = "order_id string, product_id string, price double, shipping_charges double"
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    """Three delivered orders (one with a bad date), one shipped, one without a customer."""
+    orders = staging.clean_orders(
+        spark.createDataFrame(
+            [
+                ("1", "c1", "delivered", "2023-01-31 10:00:00"),
+                ("2", "c1", "delivered", "2023-02-01"),
+                ("3", "c2", "delivered", "not-a-date"),
+                ("4", "c2", "shipped", "2023-02-01"),
+                ("5", "nobody", "delivered", "2023-02-01"),
+            ],
+            "order_id string, customer_id string, order_status string,"
+            " order_purchase_timestamp string",
+        )
+    )
+    items = staging.clean_order_items(
+        spark.createDataFrame(
+            [
+                ("1", "p1", 10.0, 1.0),
+                ("1", "p2", 10.0, 1.0),
+                ("2", "px", 7.0, 0.5),
+                ("3", "p1", 5.0, 0.0),
+                ("4", "p1", 100.0, 0.0),
+                ("5", "p2", 5.0, 0.0),
+                ("lost", "p1", 1.0, 1.0),
+            ],
+            ITEM_COLUMNS,
+        )
+    )
+    products = spark.createDataFrame(
+        [("p1", "toys"), ("p2", "books")], "product_id string, product_category_name string"
+    )
+    customers = spark.createDataFrame(
+        [("c1", "rio", "RJ"), ("c2", "rio", "RJ"), ("c3", "sp", "SP")],
+        "customer_id string, customer_city string, customer_state string",
+    )
+    payments = staging.clean_payments(
+        spark.createDataFrame(
+            [("1", "boleto", 1, 22.0), ("2", "boleto", 2, 7.5), ("4", "voucher", 1, 1.0)],
+            "order_id string, payment_type string, payment_installments int, payment_value double",
+        )
+    )
+    fact_orders = facts.build_fact_orders(orders, items, payments)
+    fact_items = facts.build_fact_order_items(items, orders, products)
+    return fact_orders, fact_items, payments, customers
+
+
+def test_fact_order_items_drops_items_without_order(shop):
+    result = rows(shop[1], "order_id", "product_id")
+    assert len(result) == 6
+    assert result[2]["product_id"] == "px" and result[2]["product_category_name"] is None
+    assert list(result[0]) == [
+        "order_id",
+        "product_id",
+        "price",
+        "shipping_charges",
+        "item_total",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_date",
+        "product_category_name",
+    ]
+
+
+def test_fact_order_items_is_the_same_with_hot_keys(spark, shop):
+    fact_orders, fact_items, _, _ = shop
+    items = fact_items.select("order_id", "product_id", "price", "shipping_charges", "item_total")
+    products = spark.createDataFrame(
+        [("p1", "toys"), ("p2", "books")], "product_id string, product_category_name string"
+    )
+    hot = {"order_id": ["1"], "product_id": ["p1", "px"]}
+    salted = facts.build_fact_order_items(items, fact_orders, products, hot)
+    assert salted.columns == fact_items.columns
+    assert sorted(map(str, salted.collect())) == sorted(map(str, fact_items.collect()))
+
+
+def test_fact_order_items_without_category(spark, shop):
+    fact_orders, fact_items, _, _ = shop
+    items = fact_items.select("order_id", "product_id", "price")
+    ids = spark.createDataFrame([("p1",)], "product_id string")
+    fact = facts.build_fact_order_items(items, fact_orders, ids)
+    assert "product_category_name" not in fact.columns and fact.count() == 6
+
+
+def test_day_and_month_leave_out_bad_dates(shop):
+    assert rows(marts.build_mart_revenue_by_day(shop[0]), "order_date") == [
+        {"order_date": dt.date(2023, 1, 31), "revenue": 22.0, "orders": 1},
+        {"order_date": dt.date(2023, 2, 1), "revenue": 12.5, "orders": 2},
+    ]
+    assert rows(marts.build_mart_revenue_by_month(shop[0]), "order_month") == [
+        {"order_year": 2023, "order_month": 1, "revenue": 22.0, "orders": 1},
+        {"order_year": 2023, "order_month": 2, "revenue": 12.5, "orders": 2},
+    ]
+
+
+def test_geo_keeps_bad_dates_and_drops_unknown_customers(shop):
+    assert rows(marts.build_mart_customer_geo(shop[0], shop[3])) == [
+        {
+            "customer_state": "RJ",
+            "customer_city": "rio",
+            "revenue": 34.5,
+            "orders": 3,
+            "unique_customers": 2,
+        }
+    ]
+
+
+def test_category_leaves_out_unknown_products(shop):
+    result = rows(marts.build_mart_revenue_by_category(shop[1]), "product_category_name")
+    assert result == [
+        {"product_category_name": "books", "revenue": 16.0, "items_sold": 2},
+        {"product_category_name": "toys", "revenue": 16.0, "items_sold": 2},
+    ]
+
+
+def test_top_products_breaks_ties_by_id(shop):
+    result = marts.build_mart_top_products(shop[1]).collect()
+    assert [(r.product_id, r.revenue, r.quantity) for r in result] == [
+        ("p1", 16.0, 2),
+        ("p2", 16.0, 2),
+    ]
+    head = marts.build_mart_top_products(shop[1], limit=1)
+    assert [r.product_id for r in head.collect()] == ["p1"]
+    assert "TakeOrderedAndProject" in plan(head)
+
+
+def test_status_daily_has_every_status(shop):
+    result = rows(marts.build_mart_order_status_daily(shop[0]), "order_date", "order_status")
+    assert [(r["order_status"], r["order_count"]) for r in result] == [
+        ("delivered", 1),
+        ("delivered", 2),
+        ("shipped", 1),
+    ]
+
+
+def test_payment_summary_mart_ignores_status(shop):
+    result = rows(marts.build_mart_payment_method_summary(shop[2]), "payment_type")
+    assert result == [
+        {"payment_type": "boleto", "total_value": 29.5, "transaction_count": 2},
+        {"payment_type": "voucher", "total_value": 1.0, "transaction_count": 1},
+    ]
+
+
+def test_other_revenue_status(shop):
+    result = rows(marts.build_mart_revenue_by_day(shop[0], "shipped"))
+    assert [r["revenue"] for r in result] == [100.0]
+
+
+def test_dim_date_columns(spark):
+    orders = spark.sql("select timestamp_ntz'2021-01-01 12:00:00' as order_purchase_timestamp")
+    assert rows(dims.build_dim_date(orders)) == [
+        {
+            "date": dt.date(2021, 1, 1),
+            "date_id": 20210101,
+            "year": 2021,
+            "quarter": 1,
+            "month": 1,
+            "month_name": "January",
+            "day": 1,
+            "day_of_week": 4,
+            "week_of_year": 53,
+            "is_weekend": False,
+        }
+    ]
+
+
+def test_dim_date_without_dates_keeps_its_schema(spark):
+    orders = spark.sql("select cast(null as timestamp_ntz) as order_purchase_timestamp")
+    empty = dims.build_dim_date(orders)
+    assert empty.count() == 0 and empty.columns[:2] == ["date", "date_id"]
+    assert dims.build_dim_date(spark.sql("select 1 as order_id")).count() == 0
+
+
+def test_dims_have_one_row_per_key(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "a")], "customer_id string, product_id string")
+    assert dims.build_dim_customers(df).count() == 1
+    assert dims.build_dim_products(df).count() == 1
+
+
+def test_unused_payments_are_not_read_for_revenue(shop):
+    text = plan(marts.build_mart_revenue_by_day(shop[0]))
+    assert "payment" not in text
