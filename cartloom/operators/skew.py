@@ -24,7 +24,9 @@ def hot_keys(
     Fewer than 1000 keys can do so, which bounds what comes back to the driver. The sample
     decides only which keys get spread; no result depends on it.
     """
-    sample = df if fraction >= 1 else df.sample(fraction=fraction, seed=7)
+    sample = df.select(*columns)
+    if fraction < 1:
+        sample = sample.sample(fraction=fraction, seed=7)
     tags = [f"struct('{c}' as c, cast(`{c}` as string) as k)" for c in columns]
     # The first tag is the same for every row and counts them all.
     every = "struct('' as c, cast(null as string) as k)"

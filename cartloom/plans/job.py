@@ -22,17 +22,6 @@ from cartloom.sinks import (
 from cartloom.sinks.snapshots import run_together
 from cartloom.sources import extract_all, read_latest
 
-STAGED = ("orders", "customers", "products", "payments", "order_items")
-WAREHOUSE = (
-    "dim_customers",
-    "dim_products",
-    "dim_date",
-    "fact_payments",
-    "fact_order_items",
-    "fact_orders",
-)
-
-
 @dataclass(frozen=True)
 class JobResult:
     metrics: DataFrame
@@ -41,10 +30,48 @@ class JobResult:
 
 @dataclass(frozen=True)
 class OutputReport:
+    """Violations and profiles; profiles are named "<table>.<part>"."""
+
     violations: DataFrame
     profiles: dict[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class OutputView:
+    """What to profile in a published table."""
+
+    keys: tuple[str, ...] = ()
+    numbers: tuple[str, ...] = ()
+    frequency: str | None = None
+    top: int | None = None
+
+
+OUTPUT_VIEWS = {
+    "fact_orders": OutputView(
+        keys=("order_id",),
+        numbers=(
+            "total_item_revenue",
+            "total_shipping_cost",
+            "total_order_value",
+            "total_payment_value",
+            "payment_diff",
+            "item_count",
+        ),
+        frequency="order_status",
+    ),
+    "fact_order_items": OutputView(
+        numbers=("price", "shipping_charges", "item_total"),
+        frequency="product_category_name",
+        top=10,
+    ),
+    "fact_payments": OutputView(numbers=("payment_value",), frequency="payment_type"),
+    "dim_customers": OutputView(keys=("customer_id",), frequency="customer_state", top=10),
+    "dim_products": OutputView(keys=("product_id",), frequency="product_category_name", top=10),
+    "dim_date": OutputView(),
+    **{mart: OutputView() for mart in MART_TABLES},
+}
+
+
 def build_staging(raw: dict[str, DataFrame], params: JobParams) -> dict[str, DataFrame]:
     return {
         "orders": staging.clean_orders(raw["orders"], params.timestamp_format),
@@ -158,52 +185,34 @@ def run(
         drop_scratch(spark, work)
 
 
-def check_published(spark: SparkSession, params: JobParams) -> OutputReport:
+def profile_table(table: str, df: DataFrame, params: JobParams) -> dict[str, DataFrame]:
+    """The profiles of one published table, by part."""
+    view = OUTPUT_VIEWS[table]
+    keys = list(view.keys)
+    if table == "dim_date":
+        keys = ["date_id" if "date_id" in df.columns else "date"]
+    profiles = profile.table_overview(table, df, keys)
+    if view.numbers:
+        profiles["describe"] = profile.describe(df, list(view.numbers))
+    if view.frequency in df.columns:
+        profiles[view.frequency] = top_values(df, view.frequency, view.top)
+    if table == "fact_orders":
+        profiles["revenue_totals"] = profile.revenue_totals(df, params.revenue_status)
+    if table == "dim_date" and "date" in df.columns:
+        profiles["range"] = profile.date_range(df)
+    return profiles
+
+
+def check_published(
+    spark: SparkSession, params: JobParams, only: tuple[str, ...] = tuple(OUTPUT_VIEWS)
+) -> OutputReport:
     """Rules and profiles over the latest copies; raises if a rule is broken."""
-    tables = {t: read_latest(spark, params.warehouse_base, t) for t in (*WAREHOUSE, *MART_TABLES)}
+    tables = {table: read_latest(spark, params.warehouse_base, table) for table in only}
     violations = quality.check_output(tables)
     quality.enforce(violations)
-    return OutputReport(violations, _output_profiles(tables, params))
-
-
-def _output_profiles(
-    tables: dict[str, DataFrame], params: JobParams
-) -> dict[str, DataFrame]:
-    keys = {
-        "fact_orders": ["order_id"],
-        "dim_customers": ["customer_id"],
-        "dim_products": ["product_id"],
-        "dim_date": ["date_id"],
-    }
-    numbers = {
-        "fact_orders": [
-            "total_item_revenue",
-            "total_shipping_cost",
-            "total_order_value",
-            "total_payment_value",
-            "payment_diff",
-            "item_count",
-        ],
-        "fact_order_items": ["price", "shipping_charges", "item_total"],
-        "fact_payments": ["payment_value"],
-    }
-    frequencies = {
-        "fact_orders": ("order_status", None),
-        "fact_order_items": ("product_category_name", 10),
-        "fact_payments": ("payment_type", None),
-        "dim_customers": ("customer_state", 10),
-        "dim_products": ("product_category_name", 10),
+    profiles = {
+        f"{table}.{part}": frame
+        for table, df in tables.items()
+        for part, frame in profile_table(table, df, params).items()
     }
-    profiles = {}
-    for table, df in tables.items():
-        for part, frame in profile.table_overview(table, df, keys.get(table)).items():
-            profiles[f"{table}.{part}"] = frame
-    for table, columns in numbers.items():
-        profiles[f"{table}.describe"] = profile.describe(tables[table], columns)
-    for table, (column, limit) in frequencies.items():
-        profiles[f"{table}.{column}"] = top_values(tables[table], column, limit)
-    profiles["fact_orders.revenue_totals"] = profile.revenue_totals(
-        tables["fact_orders"], params.revenue_status
-    )
-    profiles["dim_date.range"] = profile.date_range(tables["dim_date"])
-    return profiles
+    return OutputReport(violations, profiles)

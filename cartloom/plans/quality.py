@@ -38,9 +38,15 @@ def non_negative(column: str) -> Rule:
 
 
 def unique(*columns: str) -> Rule:
-    """Rows beyond the first per key; null keys count as equal (a struct is never null)."""
-    key = ", ".join(f"`{c}`" for c in columns)
-    return Rule("unique", ",".join(columns), f"count(1) - count(distinct struct({key}))")
+    """Rows beyond the first per key; null keys count as equal."""
+    if len(columns) == 1:
+        # On the bare column, the count can use a partitioning by that key.
+        key = f"`{columns[0]}`"
+        keys = f"count(distinct {key}) - coalesce(max(if({key} is null, 1, 0)), 0)"
+    else:
+        # A struct is never null itself.
+        keys = f"count(distinct struct({', '.join(f'`{c}`' for c in columns)}))"
+    return Rule("unique", ",".join(columns), f"count(1) - {keys}")
 
 
 def allowed_values(column: str, allowed: tuple[str, ...]) -> Rule:

@@ -1,16 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from cartloom.__main__ import main
 from cartloom.operators import INGEST_ORDER
 from cartloom.params import JobParams
 from cartloom.plans import job, staging
 from cartloom.plans.quality import DataQualityError
-from cartloom.schemas import MART_TABLES
 from cartloom.sinks import latest_path, load_staging, load_warehouse, publish
 from cartloom.sinks.snapshots import save_snapshot
 from cartloom.sources import extract_all, read_csv_table, read_latest
@@ -204,7 +205,7 @@ def test_the_whole_job(spark, params):
     assert report.profiles["mart_top_products.head"].count() <= 3
 
     def content():
-        frames = {t: read_latest(spark, params.warehouse_base, t) for t in (*job.WAREHOUSE, *MART_TABLES)}
+        frames = {t: read_latest(spark, params.warehouse_base, t) for t in job.OUTPUT_VIEWS}
         return {t: sorted(map(str, df.collect())) for t, df in frames.items()}
 
     before = content()
@@ -232,7 +233,21 @@ def test_an_empty_mart_stops_after_staging(spark, params, tmp_path):
     assert latest_path(params.staging_base, "payments")
 
 
-def test_run_date(monkeypatch):
+def test_command_line(spark, params, tmp_path, capsys):
+    fields = ("raw_base", "staging_base", "warehouse_base", "run_date", "valid_order_statuses")
+    config = tmp_path / "params.json"
+    config.write_text(json.dumps({f: getattr(params, f) for f in fields}))
+    main(["run", "--params", str(config)])
+    assert "mart_customer_geo" in capsys.readouterr().out
+    main(["check", "--params", str(config)])
+    assert "fact_orders.describe" in capsys.readouterr().out
+    only = job.check_published(spark, params, only=("dim_date",))
+    assert set(only.profiles) >= {"dim_date.range", "dim_date.duplicates"}
+    with pytest.raises(FileNotFoundError):
+        job.check_published(spark, params.with_(warehouse_base=str(tmp_path / "none")))
+
+
+def test_run_date():
     assert JobParams().run_date == dt.date.today().isoformat()
     with pytest.raises(ValueError):
         JobParams(run_date="yesterday")
