@@ -112,19 +112,33 @@ def build_marts(warehouse: dict[str, DataFrame], params: JobParams) -> dict[str,
     }
 
 
+# Rows that cleaning drops for their content, counted apart by reason.
+DROPPED = {
+    "payments": {
+        "dropped_negative": "payment_value < 0",
+        "dropped_missing": "payment_value is null or isnan(payment_value)",
+    }
+}
+
+
 class Metrics:
     """Row counts taken while the tables are written, without extra passes."""
 
     def __init__(self) -> None:
         self._seen: list[tuple[str, str, Observation]] = []
 
-    def watch(self, df: DataFrame, table: str, step: str) -> DataFrame:
+    def watch(
+        self, df: DataFrame, table: str, step: str, extra: dict[str, str] | None = None
+    ) -> DataFrame:
+        """Count the rows that pass, and those that meet the extra conditions."""
         observation = Observation(f"{table}-{step}")
-        self._seen.append((table, step, observation))
-        return df.observe(observation, F.expr("count(1) as rows"))
+        conditions = {step: "true", **(extra or {})}
+        self._seen += [(table, name, observation) for name in conditions]
+        counts = [F.expr(f"count_if({c}) as `{name}`") for name, c in conditions.items()]
+        return df.observe(observation, *counts)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(table, step, o.get.get("rows", 0)) for table, step, o in self._seen]
+        rows = [(table, step, o.get.get(step, 0)) for table, step, o in self._seen]
         return spark.createDataFrame(rows, "table string, step string, rows bigint")
 
 
@@ -159,7 +173,9 @@ def run(
     work = scratch_folder(spark, "job")
     metrics = Metrics()
     try:
-        read = {name: metrics.watch(df, name, "read") for name, df in raw.items()}
+        read = {
+            name: metrics.watch(df, name, "read", DROPPED.get(name)) for name, df in raw.items()
+        }
         staged = materialise(spark, build_staging(read, params), f"{work}/staging", metrics)
         statuses = quality.invalid_values(
             staged["orders"], "order_status", params.valid_order_statuses

@@ -357,6 +357,11 @@ def _job_rows() -> str:
         f"""select '{table}' as "table", '{step}' as step, {_rows()} as "rows" from {source}"""
         for (step, table), source in sources.items()
     ]
+    parts += [
+        f"""select 'payments' as "table", '{step}' as step, {_rows()} as "rows"
+          from raw_payments where payment_value {condition}"""
+        for step, condition in (("dropped_negative", "< 0"), ("dropped_missing", "is null"))
+    ]
     return "\nunion all\n".join(parts)
 
 

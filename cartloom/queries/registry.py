@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions import exact_sum
 from cartloom.operators import (
+    INGEST_ORDER,
     agg_dropna,
     dedupe_first,
     exact_quantiles,
@@ -219,7 +220,8 @@ def dq_required_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_shape(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.table_shape(raw_from_benchmark(spark, folder))
+    raw = raw_from_benchmark(spark, folder)
+    return profile.table_shape({table: df.drop(INGEST_ORDER) for table, df in raw.items()})
 
 
 def profile_nulls(spark: SparkSession, folder: str) -> DataFrame:
@@ -287,9 +289,13 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """All raw tables written as CSV and read under their contracts, up to fact_orders."""
     base = scratch_folder(spark, "csv")
     for table, df in raw_from_benchmark(spark, folder).items():
-        df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-            "ignoreTrailingWhiteSpace", False
-        ).csv(f"{base}/{table}")
+        (
+            df.drop(INGEST_ORDER)
+            .write.option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{base}/{table}")
+        )
     params = PARAMS.with_(raw_base=base, raw_files={t: t for t in RAW_SQL})
     staged = job.build_staging(extract_all(spark, params), params)
     return facts.build_fact_orders(staged["orders"], staged["order_items"], staged["payments"])

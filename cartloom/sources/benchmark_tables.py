@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartloom.operators.dedupe import INGEST_ORDER
+from cartloom.schemas import KEYED_TABLES
+
 # Plain SQL, so that a check in another engine can start from the same raw tables.
 RAW_SQL = {
     "orders": """
@@ -45,6 +48,9 @@ RAW_SQL = {
         from {events}""",
 }
 
+# The benchmark table whose rows are the rows of a keyed raw table.
+KEYED_SOURCES = {"orders": "orders", "customers": "customer", "products": "part"}
+
 SOURCE_TABLES = ("orders", "lineitem", "customer", "nation", "region", "part", "events")
 
 
@@ -55,9 +61,22 @@ def read_benchmark(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def raw_from_benchmark(
     spark: SparkSession, folder: str, tables: tuple[str, ...] = tuple(RAW_SQL)
 ) -> dict[str, DataFrame]:
+    """The raw tables; keyed ones also get their ingest order, taken before any join."""
     raw = {}
     for table in tables:
         sql = RAW_SQL[table]
         inputs = {t: read_benchmark(spark, folder, t) for t in SOURCE_TABLES if f"{{{t}}}" in sql}
+        if table in KEYED_TABLES:
+            source = KEYED_SOURCES[table]
+            position = _file_position(inputs[source])
+            inputs[source] = inputs[source].selectExpr("*", f"{position} as {INGEST_ORDER}")
+            sql = sql.replace("select ", f"select {INGEST_ORDER}, ", 1)
         raw[table] = spark.sql(sql, **inputs)
     return raw
+
+
+def _file_position(df: DataFrame) -> str:
+    """Sortable input position: file and row. The path is left out for a single file."""
+    if len(df.inputFiles()) > 1:
+        return "struct(_metadata.file_path as path, _metadata.row_index as row)"
+    return "_metadata.row_index"

@@ -192,6 +192,8 @@ def test_the_whole_job(spark, params):
     assert counts[("orders", "read")] == 4 and counts[("orders", "built")] == 3
     assert counts[("products", "read")] == 3 and counts[("products", "built")] == 3
     assert counts[("payments", "read")] == 3 and counts[("payments", "built")] == 2
+    assert counts[("payments", "dropped_negative")] == 1
+    assert counts[("payments", "dropped_missing")] == 0
     day = rows(read_latest(spark, params.warehouse_base, "mart_revenue_by_day"), "order_date")
     assert day == [
         {"order_date": dt.date(2023, 5, 15), "revenue": 11.5, "orders": 1},
