@@ -142,6 +142,28 @@ def test_quantiles_of_skewed_and_spread_values(spark):
         assert r.quantile == pytest.approx(np.quantile(sign * values, r.probability), rel=1e-14)
 
 
+def test_quantiles_of_any_doubles(spark):
+    """Random bit patterns, and ranges in which thousands of neighbouring doubles lie."""
+    generator = np.random.default_rng(11)
+    n = 4001
+    columns = {
+        "any": generator.integers(0, 2**64, n, dtype=np.uint64).view(np.float64),
+        "tiny": generator.integers(0, 5000, n, dtype=np.uint64).view(np.float64),
+        "dense": (0x40F0000000000000 + generator.integers(0, 3000, n)).view(np.float64),
+        "wide": (0x3FF0000000000000 + generator.integers(0, 2**52, n)).view(np.float64),
+        "cents": generator.integers(-(10**7), 10**7, n) / 100.0,
+    }
+    columns["any"][~np.isfinite(columns["any"])] = 0.0
+    data = [tuple(float(columns[c][i]) for c in columns) for i in range(n)]
+    df = spark.createDataFrame(data, ", ".join(f"`{c}` double" for c in columns))
+    probabilities = [0.0, 0.2, 0.5, 0.75, 1.0]  # whole ranks, so each is a value of the column
+    found = exact_quantiles(df, list(columns), probabilities).collect()
+    assert len(found) == len(columns) * len(probabilities)
+    for r in found:
+        rank = round(r.probability * (n - 1))
+        assert r.quantile == np.sort(columns[r.column])[rank], (r.column, r.probability)
+
+
 def test_infinite_values_rank_last(spark):
     assert _quantiles(spark, [1.0, math.inf, -math.inf, 2.0, math.inf], [0.0, 0.5, 1.0]) == {
         0.0: -math.inf,
