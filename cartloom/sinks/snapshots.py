@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from cartloom.params import JobParams
 
 # Independent writes go to Spark together, so small tables do not queue behind each other.
-PARALLEL_WRITES = 6
+PARALLEL_WRITES = 8
 
 
 def snapshot_path(base: str, table: str) -> str:

@@ -279,3 +279,29 @@ def test_dims_have_one_row_per_key(spark):
 def test_unused_payments_are_not_read_for_revenue(shop):
     text = plan(marts.build_mart_revenue_by_day(shop[0]))
     assert "payment" not in text
+
+
+def test_marts_over_files_read_only_what_they_need(spark, shop, tmp_path):
+    shop[0].write.parquet(str(tmp_path / "fact_orders"))
+    stored = spark.read.parquet(str(tmp_path / "fact_orders"))
+    text = plan(marts.build_mart_revenue_by_day(stored))
+    assert "EqualTo(order_status,delivered)" in text and "IsNotNull(order_date)" in text
+    assert "total_payment_value" not in text and "customer_id" not in text
+    assert text.count("Exchange") == 1
+
+
+def test_geo_reduces_orders_before_the_join(spark, shop, tmp_path):
+    shop[0].write.parquet(str(tmp_path / "fact_orders"))
+    stored = spark.read.parquet(str(tmp_path / "fact_orders"))
+    text = plan(marts.build_mart_customer_geo(stored, shop[3]))
+    join = text.index("Join")
+    assert "partial_sum" in text[join:] and "distinct" not in text.lower()
+
+
+def test_no_python_and_no_cross_join_in_any_table(spark):
+    from __spark_entry__ import queries
+
+    for name in ("fact_orders", "fact_order_items", "mart_customer_geo", "stg_products", "dim_date"):
+        text = plan(queries()[name](spark, "/root/testdata/sf0.001"))
+        for node in ("Python", "CartesianProduct", "NestedLoop", "percentile"):
+            assert node not in text, (name, node)
