@@ -1,7 +1,7 @@
 """Sums of money that do not depend on the order of addition.
 
 A plain sum of doubles changes in the last digits with the partitioning. Summing a decimal
-cast is stable but goes through text for every row, about ten times slower. Here each amount
+cast is stable but goes through text for every row, several times slower. Here each amount
 becomes a whole number of 1/10000 units, split in two parts so that a group of trillions of
 rows cannot overflow, and both parts are summed as longs.
 """
