@@ -136,7 +136,7 @@ def fit_rates(cells: DataFrame, domains: list[str], targets: Targets, most: floa
         have = totals(current)
         miss = [(h - wanted[d]) / max(s, 1.0) for h, s, d in zip(have, present, domains, strict=True)]
         loss = sum(m * m * s for m, s in zip(miss, present, strict=True))
-        if last is not None and last - loss <= 1e-9 * max(sum(present), 1.0):
+        if last is not None and last - loss <= 1e-6 * max(sum(present), 1.0):
             break
         last = loss
         move = " + ".join(f"p[{k}] * {m!r}d" for k, m in enumerate(miss))

@@ -272,9 +272,7 @@ def labelled_windows(texts: list[str], n: int, width: int, seed: int) -> tuple[n
         part = slice(at, at + width)
         x[: len(text[part])], y[: len(text[part])] = classes(text)[part], tags[part]
         if y[0] and y[0] % 2 == 0:  # the window begins inside a span
-            stop = next((i for i, v in enumerate(y) if v != y[0]), width)
             y[0] -= 1
-            del stop
         xs.append(x)
         ys.append(y)
 
@@ -308,7 +306,7 @@ def labelled_windows(texts: list[str], n: int, width: int, seed: int) -> tuple[n
     return np.array(xs).T.copy(), np.array(ys).T.copy()
 
 
-def train_tagger(texts: list[str], hidden: int = 16, windows: int = 3000, width: int = 64, rounds: int = 8, seed: int = 5) -> Tagger:
+def train_tagger(texts: list[str], hidden: int = 24, windows: int = 4000, width: int = 64, rounds: int = 8, seed: int = 5) -> Tagger:
     x, y = labelled_windows(texts, windows, width, seed)
     model, batch = Tagger.fresh(hidden, seed), 64
     m = {k: np.zeros_like(v) for k, v in model.params.items()}
@@ -388,6 +386,7 @@ def find_spans(texts: list[str], model: Tagger, width: int = 96, reach: int = 40
     for text, own, found in zip(texts, base, raw, strict=True):
         checked = []
         for kind, a, b, score in found:
+            b = min(b, len(text))  # not into the padding
             while a < b and text[a] in " \n,;:.-)":
                 a += 1
             while b > a and text[b - 1] in " \n,;:.-(+":

@@ -51,7 +51,7 @@ RULES = (
     Rule("repeated_windows", "repeat_percent", high=20, base=True),
     Rule("word_length", "mean_word_chars", low=2, high=16),
     Rule("symbols", "symbol_ratio", high=0.1),
-    Rule("same_lines", "dup_line_ratio", high=0.3),
+    Rule("same_lines", "dup_line_ratio", high=0.5),
     Rule("stop_words", "stop_word_ratio", low=0.02),
 )
 

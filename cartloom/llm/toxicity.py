@@ -72,7 +72,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - score[:, None], -50, 50)))
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, chosen: np.ndarray, penalty: float = 1e-3, rounds: int = 400) -> OrdinalModel:
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, chosen: np.ndarray, penalty: float = 3e-4, rounds: int = 400) -> OrdinalModel:
     """Maximum likelihood with an L2 penalty, by Adam on the whole sample."""
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.searchsorted(chosen, np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(owner) else np.empty(0, int))
@@ -151,7 +151,7 @@ def grade_toxicity(
     label_column: str = "toxic",
     sample_rows: int = 12_000,
     n_features: int = 4096,
-    reject_at: float = 0.5,
+    reject_at: float = 0.3,
     with_rows: bool = False,
 ) -> DataFrame:
     """(id, severity, grade, p_toxic, rejected) per document row, and the whole row as ``row`` if asked.
