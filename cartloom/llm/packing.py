@@ -17,6 +17,8 @@ rows are packed one by one; a text longer than a sequence is cut; an empty table
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,40 +38,84 @@ SCHEMA = (
 class WordTokenizer:
     """Token ids of a text by way of its words.
 
-    This tokenizer drops white space and never joins across it, so a text's ids are those of its
-    words in a row. Words are kept in a cache of bounded size.
+    This tokenizer normalizes a text, cuts it into words (runs of letters, single digits, runs of
+    other signs), drops white space and encodes each word by itself; the last id of a word is one
+    of those that end a word. Ids of words are kept in two generations of bounded size. Texts in
+    which the normalization depends on context, or that name a special token, are encoded whole.
     """
 
-    def __init__(self, path: str | None, most: int = 600_000):
-        from tokenizers import Tokenizer
+    #: Fixed value: how this vocabulary's tokenizer cuts words.
+    WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: The same for lower-case Latin letters.
+    LATIN = re.compile(
+        "'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0101-\u017f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|"
+        "[^\x09-\x0D\x20\x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0101-\u017f0-9\xb2\xb3\xb9\xbc-\xbe]+"
+    )
+    NOT_LATIN = re.compile("[^\t-\r -~\xa0-\u012f\u0131-\u017f\u2010-\u2027]|<\\|")
+    #: What Unicode versions or context may treat differently, and special tokens.
+    UNSURE = re.compile("[^\t-\r -~\xa0-\u012f\u0131-\u017f\u0410-\u044f\u2010-\u2027\u3041-\u3096\u4e00-\u9fff\uac00-\ud7a3]|<\\|")
+
+    def __init__(self, path: str | None, most: int = 200_000):
+        import regex
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path("word_bpe_49k.json")
-        self.model, self.most, self.cache = Tokenizer.from_file(str(path)), most, {"": b""}
+        self.model, self.most = Tokenizer.from_file(str(path)), most
+        # For words that are cut already, their bytes written as the vocabulary writes them.
+        self.cut_words = Tokenizer.from_file(str(path))
+        self.cut_words.normalizer = normalizers.Sequence([])
+        self.cut_words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.written = {b: 256 + i for i, b in enumerate(others)}
+        self.any_words = regex.compile(self.WORDS)
+        vocabulary = self.model.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _written(self, word: str) -> str:
+        if word.isascii() and word.isprintable():
+            return word
+        return word.encode().decode("latin-1").translate(self.written)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if text.isascii():
-            text = text.lower()
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in cache]
-            if len(cache) + len(new) > self.most:
-                cache.clear()
-                cache[""] = b""
-                new = [w for w in dict.fromkeys(words) if w]
-            ids = {}
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    ids[w] = np.array(e.ids, "<u4").tobytes()
-            cache.update((w, b) for w, b in ids.items() if len(w) <= 64)
-            return b"".join([cache[w] if w in cache else ids[w] for w in words])
+        if text.isascii() and "<|" not in text:
+            words = self.LATIN.findall(text.lower())
+        elif not self.NOT_LATIN.search(text):
+            words = self.LATIN.findall(unicodedata.normalize("NFC", text).lower())
+        elif not self.UNSURE.search(text):
+            words = self.any_words.findall(unicodedata.normalize("NFC", text).lower())
+        else:
+            return self._whole(text)
+        known = self.young
+        new = []
+        for w in set(words).difference(known):
+            if w in self.old:
+                known[w] = self.old[w]
+            else:
+                new.append(w)
+        if new:
+            ids = np.array(self.cut_words.encode_batch_fast([" ".join(map(self._written, new))], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(new):  # a word that the vocabulary cuts in another way
+                return self._whole(text)
+            data, start = ids.tobytes(), 0
+            for w, stop in zip(new, (4 * stops).tolist(), strict=True):
+                known[w] = data[start:stop]
+                start = stop
+        found = b"".join([known[w] for w in words])
+        if len(known) > self.most:
+            self.young, self.old = {}, known
+        return found
 
 
 @dataclass
