@@ -32,6 +32,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cartloom")
     parser.add_argument("command", choices=("run", "check"))
     parser.add_argument("--params", help="JSON file with job parameters")
+    parser.add_argument("--out", help="folder that gets the profiles in full")
     options = parser.parse_args(arguments)
     params = read_params(options.params)
     spark = SparkSession.builder.appName(f"cartloom {options.command}").getOrCreate()
@@ -39,13 +40,15 @@ def main(arguments: list[str] | None = None) -> None:
         spark.conf.set(key, value)
     if options.command == "run":
         result = job.run(spark, params)
-        result.metrics.orderBy("step", "table").show(100, truncate=False)
+        result.metrics.orderBy("step", "table").show(10_000, truncate=False)  # a row per table and step
         return
     report = job.check_published(spark, params)
-    report.violations.show(100, truncate=False)
+    report.violations.show(10_000, truncate=False)  # a row per rule
     for name, frame in report.profiles.items():
         print(name)
         frame.show(20, truncate=False)
+        if options.out:
+            frame.write.mode("overwrite").json(f"{options.out.rstrip('/')}/{name}")
 
 
 if __name__ == "__main__":

@@ -19,7 +19,11 @@ SHOWN_VALUES = 20
 
 
 class DataQualityError(ValueError):
-    """A layer broke at least one rule."""
+    """A layer broke at least one rule. ``details`` has the whole frames behind the message."""
+
+    def __init__(self, message: str, details: dict[str, DataFrame] | None = None):
+        super().__init__(message)
+        self.details = details or {}
 
 
 @dataclass(frozen=True)
@@ -153,15 +157,17 @@ def enforce(violations: DataFrame, details: dict[str, DataFrame] | None = None)
     broken = violations.filter(F.col("violations") > 0).collect()  # at most one row per rule
     if not broken:
         return
-    messages = []
+    messages, quoted = [], {}
     for row in broken:
         place = f"{row.table}.{row.column}"
         message = f"{row.layer} {place}: {row.violations} violations of {row.rule}"
         if row.rule == "allowed_values" and details and place in details:
-            shown = [r[0] for r in details[place].limit(SHOWN_VALUES).collect()]
-            message += f", such as {shown}"
+            values = details[place]
+            shown, every = [r[0] for r in values.limit(SHOWN_VALUES).collect()], values.count()
+            quoted[place] = values
+            message += f", such as {shown}" + (f" and {every - len(shown)} more values" if every > len(shown) else "")
         messages.append(message)
-    raise DataQualityError("; ".join(messages))
+    raise DataQualityError("; ".join(messages), quoted)
 
 
 def missing_columns(df: DataFrame, columns: tuple[str, ...]) -> list[str]:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import re
 
+from cartloom.queries.money_columns import MONEY_COLUMNS
 from cartloom.schemas import MART_TABLES, REQUIRED_FACT_COLUMNS
 from cartloom.sources.benchmark_tables import RAW_SQL, SOURCE_TABLES
 
 
 def _sum(c: str) -> str:
-    return f"coalesce(cast(sum(cast({c} as decimal(18,2))) as double), 0.0)"
+    return f"coalesce(fsum(cast({c} as double)), 0.0)"
 
 
 def _rows(c: str = "*") -> str:
@@ -450,13 +451,28 @@ _SQL = {
           {_sum("total_payment_value")} as total_payment_value
         from fact_orders where order_status = 'delivered'""",
     "profile_date_range": "select min(date) as min_date, max(date) as max_date from dim_date",
+    "sorted_mart_latest": """
+        select product_id, product_category_name, quantity,
+          cast(row_number() over (order by round(revenue, 6) desc, product_id) as int) as place
+        from mart_top_products""",
+    "fact_order_items_salted": """
+        select i.order_id, i.product_id, i.price, p.product_category_name
+        from (select order_id, case when order_id % 3 = 0 then 7 else product_id end as product_id, price
+          from stg_order_items) i left join stg_products p on i.product_id = p.product_id""",
     "csv_roundtrip": """
         select * replace (cast(order_id as varchar) as order_id,
-          cast(customer_id as varchar) as customer_id) from fact_orders""",
+          cast(customer_id as varchar) as customer_id,
+          cast(max_installments as double) as max_installments) from fact_orders""",
     "snapshot_rerun": _snapshots(),
     "publish_replace": _table("mart_payment_method_summary"),
     "job_row_counts": _job_rows(),
     "job_output_check": _output_rules(),
 }
 
-ORACLE = {name: _with(sql) for name, sql in _SQL.items()}
+def _to_six_places(name: str, sql: str) -> str:
+    columns = MONEY_COLUMNS.get(name, ())
+    rounded = ", ".join(f"round({c}, 6) as {c}" for c in columns)
+    return f"select * replace ({rounded}) from ({sql}) as money" if columns else sql
+
+
+ORACLE = {name: _to_six_places(name, _with(sql)) for name, sql in _SQL.items()}

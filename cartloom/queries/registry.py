@@ -16,8 +16,10 @@ from cartloom.operators import (
     impute_median,
     top_values,
 )
+from cartloom.operators.skew import salted_join, with_row_salt
 from cartloom.params import JobParams
 from cartloom.plans import dims, facts, job, marts, profile, quality, staging
+from cartloom.queries.money_columns import MONEY_COLUMNS
 from cartloom.schemas import REQUIRED_FACT_COLUMNS
 from cartloom.sinks import drop_scratch, latest_path, load_warehouse, publish, scratch_folder
 from cartloom.sinks.snapshots import snapshot_path
@@ -82,12 +84,27 @@ def quantiles_exact(spark: SparkSession, folder: str) -> DataFrame:
 # Warehouse
 
 
+def _with_late_copies(df: DataFrame, changed: str) -> DataFrame:
+    """The table with a second, differing copy of every row that a keep-first step has to drop."""
+    first = df.withColumn(INGEST_ORDER, F.lit(0))
+    late = df.withColumns({changed: F.lit("late copy"), INGEST_ORDER: F.lit(1)})
+    return late.unionByName(first)
+
+
 def dim_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.build_dim_customers(stg_customers(spark, folder), unique=True)
+    return dims.build_dim_customers(_with_late_copies(stg_customers(spark, folder), "customer_city"))
 
 
 def dim_products(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.build_dim_products(stg_products(spark, folder), unique=True)
+    return dims.build_dim_products(_with_late_copies(stg_products(spark, folder), "product_category_name"))
+
+
+def fact_order_items_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """The item facts over the salted join: a third of the items get one product, spread as a hot key."""
+    items = with_row_salt(_raw(spark, folder, "order_items"))
+    skewed = staging.clean_order_items(items.withColumn("product_id", F.expr("if(order_id % 3 = 0, 7, product_id)")))
+    joined = salted_join(skewed, stg_products(spark, folder), "product_id", "left", hot=["7", None])
+    return joined.select("order_id", "product_id", "price", "product_category_name")
 
 
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
@@ -330,7 +347,20 @@ def publish_replace(spark: SparkSession, folder: str) -> DataFrame:
     )
     mart = {"mart_payment_method_summary": mart_payment_method_summary(spark, folder)}
     publish(mart, params)
-    return spark.table(publish(mart, params)[0])
+    result = _kept(spark, spark.table(publish(mart, params)[0]), base)  # a row per payment type
+    spark.sql(f"drop database {database} cascade")
+    return result
+
+
+def sorted_mart_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The product mart as published, each row with its place in the files of ``latest``."""
+    base = scratch_folder(spark, "sorted")
+    mart = mart_top_products(spark, folder)
+    load_warehouse({}, {"mart_top_products": mart}, PARAMS.with_(warehouse_base=base))
+    path = latest_path(base, "mart_top_products")
+    rows = spark.read.parquet(path).selectExpr("*", "_metadata.file_name as file", "_metadata.row_index as row")
+    place = "row_number() over (order by file, row) as place"
+    return rows.selectExpr("product_id", "product_category_name", "quantity", place)
 
 
 def _run_job(spark: SparkSession, folder: str) -> tuple[str, JobParams, job.JobResult]:
@@ -352,8 +382,17 @@ def job_output_check(spark: SparkSession, folder: str) -> DataFrame:
     return _kept(spark, job.check_published(spark, params).violations, base)
 
 
+def _to_six_places(query: Query) -> Query:
+    columns = MONEY_COLUMNS.get(query.__name__, ())
+
+    def rounded(spark: SparkSession, folder: str) -> DataFrame:
+        return query(spark, folder).withColumns({c: F.round(c, 6) for c in columns})
+
+    return rounded if columns else query
+
+
 QUERIES: dict[str, Query] = {
-    q.__name__: q
+    q.__name__: _to_six_places(q)
     for q in (
         stg_orders,
         stg_customers,
@@ -369,6 +408,7 @@ QUERIES: dict[str, Query] = {
         payment_summary,
         fact_orders,
         fact_order_items,
+        fact_order_items_salted,
         fact_payments,
         mart_revenue_by_day,
         mart_revenue_by_month,
@@ -399,6 +439,7 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip,
         snapshot_rerun,
         publish_replace,
+        sorted_mart_latest,
         job_row_counts,
         job_output_check,
     )

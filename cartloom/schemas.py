@@ -35,7 +35,7 @@ RAW_CONTRACTS: dict[str, dict[str, str]] = {
     "payments": {
         "order_id": "string",
         "payment_type": "string",
-        "payment_installments": "int",
+        "payment_installments": "double",
         "payment_value": "double",
     },
 }
@@ -125,3 +125,6 @@ MART_TABLES = (
     "mart_top_products",
     "mart_customer_geo",
 )
+
+# Tables that are published in an order; every written copy is sorted anew.
+PUBLISHED_ORDER = {"mart_top_products": ["revenue desc", "product_id asc"]}

@@ -9,8 +9,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cartloom.params import JobParams
+from cartloom.schemas import PUBLISHED_ORDER
 
 # Independent writes go to Spark together, so small tables do not queue behind each other.
 PARALLEL_WRITES = 8
@@ -46,6 +48,8 @@ def _load_table(df: DataFrame, base: str, table: str, params: JobParams) -> None
         path = save_snapshot(df, base, table, params.run_date)
         # The copy starts from the files just written, not from the table's whole lineage.
         df = df.sparkSession.read.schema(df.schema).parquet(path)
+        if table in PUBLISHED_ORDER:
+            df = df.orderBy(*[F.expr(c.split(" ")[0]).desc() if c.endswith("desc") else F.expr(c.split(" ")[0]).asc() for c in PUBLISHED_ORDER[table]])
     if params.write_latest:
         save_parquet(df, latest_path(base, table))
 

@@ -68,15 +68,11 @@ def raw_from_benchmark(
         inputs = {t: read_benchmark(spark, folder, t) for t in SOURCE_TABLES if f"{{{t}}}" in sql}
         if table in KEYED_TABLES:
             source = KEYED_SOURCES[table]
-            position = _file_position(inputs[source])
-            inputs[source] = inputs[source].selectExpr("*", f"{position} as {INGEST_ORDER}")
+            inputs[source] = inputs[source].selectExpr("*", f"{FILE_POSITION} as {INGEST_ORDER}")
             sql = sql.replace("select ", f"select {INGEST_ORDER}, ", 1)
         raw[table] = spark.sql(sql, **inputs)
     return raw
 
 
-def _file_position(df: DataFrame) -> str:
-    """Sortable input position: file and row. The path is left out for a single file."""
-    if len(df.inputFiles()) > 1:
-        return "struct(_metadata.file_path as path, _metadata.row_index as row)"
-    return "_metadata.row_index"
+# Sortable input position: file and row.
+FILE_POSITION = "struct(_metadata.file_path as path, _metadata.row_index as row)"

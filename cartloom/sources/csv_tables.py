@@ -15,6 +15,9 @@ from cartloom.operators.dedupe import INGEST_ORDER
 from cartloom.params import JobParams
 from cartloom.schemas import KEYED_TABLES, NA_TOKENS, RAW_CONTRACTS
 
+# What counts as a number; type suffixes and words do not.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 def read_csv_table(
     spark: SparkSession, path: str, table: str, multi_line: bool = False
@@ -38,7 +41,7 @@ def read_csv_table(
     contract = RAW_CONTRACTS.get(table, {})
     columns = [_typed(c, contract.get(c, "string")).alias(c) for c in text.columns]
     if table in KEYED_TABLES:
-        columns.append(_file_position(text).alias(INGEST_ORDER))
+        columns.append(_file_position().alias(INGEST_ORDER))
     return text.select(*columns)
 
 
@@ -55,13 +58,16 @@ def _typed(name: str, spark_type: str) -> Column:
     text = F.when(~quoted.isin(*NA_TOKENS), quoted)
     if spark_type == "string":
         return text
-    number = F.nanvl(text.try_cast("double"), F.lit(None))
+    plain = F.when(text.rlike(NUMBER), text)
+    number = F.nanvl(plain.try_cast("double"), F.lit(None))
     return number if spark_type == "double" else number.try_cast(spark_type)
 
 
-def _file_position(df: DataFrame) -> Column:
-    """Sortable input position: file, block, row. The path is left out for a single file."""
-    parts = [F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
-    if len(df.inputFiles()) > 1:
-        parts.insert(0, F.col("_metadata.file_path"))
+def _file_position() -> Column:
+    """Sortable input position: file, block, row."""
+    parts = [
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id(),
+    ]
     return F.struct(*[part.alias(f"p{i}") for i, part in enumerate(parts)])

@@ -81,6 +81,13 @@ def test_exact_sum_does_not_depend_on_partitions(spark):
     assert sums == {float(exact)}
 
 
+def test_exact_sum_keeps_small_digits(spark):
+    tiny = spark.range(1_000_000).selectExpr("0.00004D as x")
+    assert tiny.agg(exact_sum("x").alias("s")).first().s == pytest.approx(40.0, rel=1e-15)
+    mixed = spark.createDataFrame([(x,) for x in (0.12346, 0.12346, 0.12346, -1e-20, 1e15, -1e15)], "x double")
+    assert mixed.agg(exact_sum("x").alias("s")).first().s == pytest.approx(0.37038, rel=1e-15)
+
+
 def test_exact_sum_of_large_totals_and_amounts(spark):
     df = spark.range(1000).selectExpr("800000000000.25D as x")
     assert df.agg(exact_sum("x").alias("s")).first().s == pytest.approx(8.0000000000025e14, rel=1e-15)
@@ -98,7 +105,7 @@ def test_exact_sum_equals_decimal_arithmetic(spark, units):
     amounts = [u / 10_000 for u in units]
     df = spark.createDataFrame([(a,) for a in amounts], "x double")
     total = Decimal(sum(units)) / 10_000
-    assert df.agg(exact_sum("x").alias("s")).first().s == float(total)
+    assert df.agg(exact_sum("x").alias("s")).first().s == pytest.approx(float(total), rel=1e-15, abs=1e-12)
 
 
 # Quantiles

@@ -73,7 +73,7 @@ def test_csv_contract(spark, params):
     assert [o["note"] for o in orders] == ['x "q"', "second", None, None]
     items = [r.price for r in raw["order_items"].collect()]
     assert items == [10.5, -3.0, None, 4.0]
-    assert dict(raw["payments"].dtypes)["payment_installments"] == "int"
+    assert dict(raw["payments"].dtypes)["payment_installments"] == "double"
     assert [r.payment_installments for r in raw["payments"].collect()] == [2, None, 1]
     city = [r.customer_city for r in raw["customers"].collect()]
     assert city == ["  Rio ", None]
