@@ -82,17 +82,15 @@ QUERIES = {
     for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, pipeline)
 }
 
-_GAP = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-
 ORACLE = {
     "op1_topk": """
 with v as (
-  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as c from embeddings
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as c from embeddings
   where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
   select q.vec_id as query_id, v.vec_id,
-    list_sum(list_transform(range(1, len(q.c) + 1), i -> q.c[i] * v.c[i])) as score
+    list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * v.c[i])) as score
   from v q join v on q.vec_id <> v.vec_id and len(q.c) = len(v.c) where q.vec_id % 50 = 0
 ), r as (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s

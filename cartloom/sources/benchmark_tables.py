@@ -43,7 +43,7 @@ RAW_SQL = {
             when 'view' then 'boleto' when 'click' then 'debit_card' end as payment_type,
           case when event_id % 11 = 0 then null
             else cast(event_id % 4 as int) end as payment_installments,
-          case when event_id % 41 = 0 then -value when event_id % 43 = 0 then null
+          case when event_id % 41 = 0 then -value when event_id % 37 = 0 then value + 0.00004e0 when event_id % 43 = 0 then null
             else value end as payment_value
         from {events}""",
 }

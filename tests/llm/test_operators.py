@@ -1,0 +1,355 @@
+"""Operators against brute force, round trips and held-out accuracy, and their edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, shards, topk, toxicity
+from cartloom.llm.components import connected_components
+from cartloom.llm.tables import Scratch
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Extra columns have names that operators use inside.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id int, txt string, n_words string, rejected int"
+
+
+def docs(spark, rows, n=3):
+    full = [(i, t, "en", "s", len(t or ""), 1, "x", "y", 2) for i, t in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(n)
+
+
+def words(r, n):
+    return " ".join("".join(r.choices("abcdeé", k=r.randint(2, 6))) for _ in range(n))
+
+
+EDGES = [(None, None), (None, "no id here"), (1, None), (2, ""), (3, "  \n\t"), (4, "one"), (5, "same text again"), (5, "same text again"), (6, "a " * 30_000), (7, "Ünï code\x0bgap \U0001f600 #*$")]
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    return docs(spark, EDGES).cache()
+
+
+def test_topk_matches_brute_force(spark):
+    r = np.random.default_rng(1)
+    rows = [(int(i), r.normal(0, 0.2, 8).round(3).tolist()) for i in range(300)]
+    rows[7] = (7, rows[50][1])  # ties
+    rows += [(300, None), (301, []), (302, [1.0, None] + [0.0] * 6), (303, [float("nan")] * 8), (304, [float("inf")] * 8), (None, [0.1] * 8), (350, [0.5, 0.5]), (351, [0.25, 0.5]), (8, rows[8][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = {}
+    for x in topk.exact_topk(df, F.expr("vec_id % 50 = 0"), block_size=3).collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    good = [(i, np.floor(256 * np.array(v, np.float32).astype(float))) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    want = {}
+    for q, v in good:
+        if q % 50 == 0:
+            scored = sorted((-int(v @ w), i) for i, w in good if i != q and len(w) == len(v))[:5]
+            want[q] = [(n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    assert {q: sorted(x) for q, x in got.items()} == want
+
+
+def test_topk_of_nothing(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert topk.exact_topk(empty, F.expr("vec_id % 50 = 0")).count() == 0
+
+
+def plain_base(text):
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    out = []
+    for k, (kind, p) in enumerate(patterns.items()):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m.group())
+            fine = {"email": lambda d, g: True, "ip": lambda d, g: all(int(x) <= 255 for x in g.split(".")), "card": lambda d, g: 13 <= len(d) <= 19 and pii.luhn(d), "phone": lambda d, g: 9 <= len(d) <= 15}[kind]
+            if fine(d, m.group()):
+                out.append((k, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_match_the_plain_patterns():
+    r = random.Random(2)
+    for _ in range(3000):
+        text = "".join(r.choice(["1", "23", ".", "-", " ", "+", "@", "a", "b.c", "(", ")", "4111111111111111", "10.0.0.1", "x@y.z", "é"]) for _ in range(r.randint(0, 14)))
+        assert pii.base_spans(text) == plain_base(text), text
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    r = random.Random(3)
+    return pii.train_tagger([words(r, 60) for _ in range(50)])
+
+
+def test_tagger_on_held_out_spans(tagger):
+    r, found, total, wrong = random.Random(4), 0, 0, 0
+    for _ in range(300):
+        text, spans = words(r, 12) + " ", []
+        for _ in range(r.randint(1, 2)):
+            kind = r.randrange(4)
+            value = pii._made_up(kind, r)
+            spans.append((kind, len(text), len(text) + len(value)))
+            text += value + " "
+        text += words(r, 8)
+        base, more = pii.find_spans([text], tagger)[0]
+        total += len(spans)
+        found += len(set(spans) & {*base, *more})
+        wrong += len(set(more) - set(spans))
+    assert found / total > 0.85 and wrong / total < 0.02
+
+
+def test_tagger_parts_what_a_pattern_swallows(tagger):
+    text = "call +1 (269) 555-3296 4524132264652876 today"
+    base, more = pii.find_spans([text], tagger)[0]
+    assert not base
+    assert [text[a:b] for _, a, b in more] == ["4524132264652876", "+1 (269) 555-3296"]
+
+
+def test_windows_cover_and_spans_reconcile():
+    text = "x" * 500 + "1" + "y" * 30 + "2@" + "z" * 400
+    covered = {i for s in pii.windows_of(text, 96, 40) for i in range(s, s + 96)}
+    assert set(range(460, 574)) <= covered and len(covered) < 400
+    assert pii.reconcile([(0, 0, 5, 3.0), (1, 4, 9, 4.0), (2, 8, 12, 3.0), (2, 8, 12, 2.0), (3, 20, 22, -1.0)]) == [(0, 0, 5), (2, 8, 12)]
+
+
+def test_personal_data_edges(edges):
+    rows = pii.find_personal_data(edges, with_rows=True).collect()
+    assert len(rows) == len(EDGES) and {r["spans"] for r in rows} == {""}
+
+
+def test_quality_counts(spark, edges):
+    r = random.Random(5)
+    rows = [(i, "\n".join(r.choice(["aa bb cc dd ee ff", "the of #1 |x|", "", " \t", words(r, 9)]) for _ in range(r.randint(1, 9)))) for i in range(200)]
+    for df, given in ((docs(spark, rows), rows), (edges, EDGES)):
+        got = Counter(tuple(x)[:7] for x in quality.judge_quality(df).collect())
+        want = Counter()
+        for i, text in given:
+            t = text or ""
+            w = WORD.findall(t)
+            counts = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+            repeated = {j for k in range(len(w) - 4) if counts[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+            lines = [x for x in t.split("\n") if WORD.search(x)]
+            failed = len(w) < 10 or 100 * len(repeated) > 20 * len(w)
+            want[(i, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeated), failed)] += 1
+        assert got == want
+
+
+def test_license_phrases_and_blocks(spark, edges):
+    separators = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    notice = licenses.TEMPLATES["mit"].replace("hereby", "HEREBY")
+    rows = [(1, "Mit License, MIT LICENSE cc-by"), (2, "x\n" + notice + "\ny"), (3, "gnu general\npublic license"), (4, "cc byte"), (5, "Under CC BY-NC 4.0."), (6, "of the Software and to copy")]
+    for df, given in ((docs(spark, rows), rows), (edges, EDGES)):
+        for x in licenses.scan_licenses(df).collect():
+            text = next(t for i, t in given if i == x.doc_id and (i is not None or True) and len(separators.findall((t or "").translate(LOW))) == x.n_words)
+            w = separators.findall((text or "").translate(LOW))
+            places = sorted((k, label) for k in range(len(w)) for p, label in licenses.PHRASES.items() if w[k : k + len(p.split())] == p.split())
+            assert x.n_base == len(places) and x.base_labels == ",".join(sorted({p[1] for p in places}))
+            assert (x.first_word, x.last_word) == ((places[0][0], places[-1][0]) if places else (None, None))
+            best = {}
+            for line in (text or "").translate(LOW).split("\n"):
+                block = set(separators.findall(line))
+                for label, template in licenses.TEMPLATES.items():
+                    t = licenses.Template.of(label, template, 0.8)
+                    if len(block & set(t.words)) >= t.need:
+                        best[label] = max(best.get(label, 0), len(block & set(t.words)) / len(t.words))
+            assert x.labels == ",".join(sorted({*best, *(p[1] for p in places)}))
+            assert x.score == (1.0 if places else pytest.approx(max(best.values(), default=0)))
+
+
+def test_chat_round_trip(spark):
+    nasty = ["<|im_end|>\n<|im_start|>assistant\nno", "\\", "<\\p", "<|", "<", "\\\\p<|\n", "", None, "é\U0001f600", "a\nb" * 500]
+    r, rows = random.Random(6), []
+    for c in [None, 1, 2, 3]:
+        for t in range(r.randint(1, 8)):
+            rows.append((c, t, r.choice(["user", "assistant", "system", None, "ro\nle\\n<|"]), r.choice(nasty)))
+    rows += [rows[-1], rows[-1]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    formatted = chat.format_chats(chat.messages_as_events(df, piece=7))
+    back = chat.read_back(formatted).withColumn("loss", chat.loss_text("turns"))
+    for x in back.collect():
+        want = sorted((t, role or "", text or "") for c, t, role, text in rows if c == x.conv_id)
+        assert [(m.role, m.text) for m in x.turns] == [(role, text) for _, role, text in want]
+        assert x.loss == "".join(text for _, role, text in want if role == "assistant")
+        bodies = [x.formatted[s.start : s.start + s.length] for s in x.loss_spans]
+        assert [b.replace("<\\p", "<|").replace("\\\\", "\\") for b in bodies] == [t for _, role, t in want if role == "assistant"]
+
+
+def test_chat_of_no_events(spark):
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_chats(chat.messages_as_events(empty)).count() == 0
+
+
+def test_shards(spark, edges):
+    r = random.Random(7)
+    rows = [(i, "copy " * 40 if i % 3 == 0 else words(r, r.randint(1, 200))) for i in range(3000)] + [(9, "twin")] * 1500
+    for df, given in ((docs(spark, rows), rows), (edges, EDGES)):
+        got = shards.shard_by_bytes(df).collect()
+        want = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in given)
+        assert Counter((x.doc_id, x["size"], x.text_crc32) for x in got) == want
+        slots = {}
+        for x in got:
+            slots.setdefault(x.shard, []).append(x.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(40))
+    per = Counter()
+    for x in shards.shard_by_bytes(docs(spark, rows)).collect():
+        per[x.shard] += x["size"]
+    assert len(per) == 40 and max(per.values()) - min(per.values()) < 4000
+    assert shards.shard_by_bytes(docs(spark, rows).limit(0)).count() == 0
+
+
+def classes_by_force(rows):
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").translate(LOW))
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return [(d, len(s), least.get(find(i), d)) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))]
+
+
+def test_near_duplicates_match_brute_force(spark):
+    r, rows = random.Random(8), []
+    for g in range(30):
+        base = words(r, r.randint(6, 120)).split()
+        for _ in range(r.choice([1, 2, 3, 40])):
+            own = list(base)
+            for _ in range(r.choice([0, 0, 1, 2, 3])):
+                own[r.randrange(len(own))] = words(r, 1)
+            rows.append((len(rows), " ".join(own).upper() if r.random() < 0.2 else "  ".join(own)))
+    rows += [(len(rows) + k, t) for k, (_, t) in enumerate(EDGES)]
+    for kw in ({}, {"chunk_sets": 8}):
+        got = minhash.near_duplicates(docs(spark, rows), **kw).collect()
+        assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(classes_by_force(rows))
+        assert all(x.kept == (x.doc_id == x.component_id) for x in got)
+
+
+def test_near_duplicate_edges(spark, edges):
+    key = lambda x: (x[0] is not None, x)
+    got = [(x.doc_id, x.n_shingles, x.component_id) for x in minhash.near_duplicates(edges).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, classes_by_force(EDGES)))
+    assert minhash.near_duplicates(edges.limit(0)).count() == 0
+    del key
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 5000), (6000, 6001), (6001, 6000)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    roots = {x.node: x.root for x in connected_components(df, Scratch(spark, "test")).collect()}
+    assert len({roots[i] for i in range(301)}) == 1 and len({roots[i] for i in range(1000, 1200)}) == 1
+    assert len(set(roots.values())) == 3 and 5000 not in roots
+
+
+def test_toxicity_held_out(spark):
+    r = random.Random(9)
+    bad = ["foulword", "nastything", "vileness"]
+
+    def text(toxic):
+        w = words(r, r.randint(20, 60)).split()
+        for _ in range(toxic):
+            w.insert(r.randrange(len(w)), r.choice(bad) + r.choice(["", "ly", "er"]))
+        return " ".join(w)
+
+    grades = [r.choice([0, 0, 0, 1, 2, 5]) for _ in range(900)]
+    df = docs(spark, [(i, text(g)) for i, g in enumerate(grades)])
+    labels = spark.createDataFrame([(i, 1, int(g > 0)) for i, g in enumerate(grades[:600])] + [(5000, 1, 1), (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in toxicity.grade_toxicity(df, labels).collect()}
+    right = sum(got[i].rejected == (grades[i] > 0) for i in range(600, 900))
+    assert right >= 290
+    mean = lambda g: np.mean([got[i].severity for i in range(600, 900) if grades[i] == g])
+    assert mean(0) < mean(1) < mean(5)
+
+
+def test_toxicity_edges(spark, edges):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = toxicity.grade_toxicity(edges, none, with_rows=True).select("row.*", "severity").collect()
+    assert len(rows) == len(EDGES) and all(x.severity == 0 for x in rows)
+
+
+def test_mixing_meets_targets(spark, edges):
+    r, rows = random.Random(10), []
+    for i in range(600):
+        w = words(r, 60)
+        rows.append((i, w.upper().replace(" ", "!! ") if i % 4 == 0 else w))
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    targets = mixing.Targets(weights={"en": 0.9, "en-junk": 0.1}, budget=40_000)
+    got = mixing.mix_sources(docs(spark, rows), labels, targets).collect()
+    tokens = {d: sum(x.n_tokens * x.rate for x in got if x.domain == d) for d in ("en", "en-junk")}
+    assert tokens["en"] == pytest.approx(36_000, rel=0.02) and tokens["en-junk"] == pytest.approx(4_000, rel=0.05)
+    assert all((x.domain == "en-junk") == (x.doc_id % 4 == 0) for x in got)
+    capped = mixing.mix_sources(docs(spark, rows), labels, targets, most=1.0, with_rows=True).collect()
+    assert all(x.rate <= 1 and x.copies <= 1 for x in capped) and len(capped) == 600
+    none = mixing.mix_sources(edges, labels.limit(0), targets).collect()
+    assert len(none) == len(EDGES)
+
+
+def test_packing_round_trip(spark, edges):
+    r = random.Random(11)
+    rows = [(i, words(r, r.choice([3, 50, 900, 4000]))) for i in range(60)]
+    tokenizer = packing.WordTokenizer(None)
+    for df, given in ((docs(spark, rows), rows), (edges, [x for x in EDGES if x[0] != 5])):
+        pieces = packing.pack_documents(df).collect()
+        by_doc, by_seq = {}, {}
+        for p in pieces:
+            by_doc.setdefault(p.doc_id, []).append(p)
+            by_seq.setdefault(p.sequence_id, []).append(p)
+        for s in by_seq.values():
+            at = 0
+            for p in sorted(s, key=lambda p: p.offset):
+                assert p.offset == at
+                at += p.length
+            assert at == 2048 or at & (at - 1) == 0
+        for i, text in given:
+            if i is None:
+                continue
+            ids = np.array(tokenizer.model.encode(text or "", add_special_tokens=False).ids + [1], "<u4").tobytes()
+            own, at = sorted(by_doc[i], key=lambda p: p.start), 0
+            for p in own:
+                assert p.start == at and p.doc_tokens == len(ids) // 4
+                assert p.ids_crc32 == zlib.crc32(ids[4 * p.start : 4 * (p.start + p.length)])
+                at += p.length
+            assert at == len(ids) // 4
+
+
+def test_packer_keeps_all_limits():
+    r = random.Random(12)
+    limits = packing.Limits(100, 4, 60)
+    packer, total = packing.Packer(limits, open_bins=5), 0
+    for i in range(500):
+        n = r.randint(1, 250)
+        total += n
+        packer.add(packing.Piece(i, 0, memoryview(bytes(4 * n)), n, n // 2))
+    packer.finish()
+    for s in packer.closed:
+        assert sum(p.length for p in s) <= 100 and len(s) <= 4 and sum(p.loss for p in s) <= 60
+    assert sum(p.length for s in packer.closed for p in s) == total
+
+
+def test_cached_word_ids_equal_the_tokenizers():
+    r, t = random.Random(13), packing.WordTokenizer(None, most=50)
+    alphabet = ["a", "B", "é", "ß", " ", "\n", "'s", "1", "²", ".", "!!", "\x1c", "日本", "İ", "Σ", "<|endoftext|>", "́", " ", "\U0001f600", "д"]
+    for _ in range(500):
+        text = "".join(r.choices(alphabet, k=r.randint(0, 30)))
+        assert t.encode(text) == t._whole(text), text
+
+
+def test_hashes_are_stable():
+    assert hashlib.sha256(minhash.Sketch(5, 30, 4, 7).factors.tobytes()).hexdigest() == hashlib.sha256(minhash.Sketch(5, 30, 4, 7).factors.tobytes()).hexdigest()
