@@ -70,12 +70,12 @@ def build_fact_order_items(
     order_items: DataFrame,
     orders: DataFrame,
     products: DataFrame,
-    hot: dict[str, list] | None = None,
+    hot: dict[str, dict | list] | None = None,
 ) -> DataFrame:
     """One row per item of a known order, with order context and product category.
 
     The items are the large side of both joins, and one order or product may own much of them.
-    Such keys are found in a sample (or given as ``hot``) and spread over all tasks.
+    Such keys are found by a sketch of the key columns (or given as ``hot``) and spread over tasks.
     """
     has_category = "product_category_name" in products.columns
     keys = ["order_id", "product_id"] if has_category else ["order_id"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from cartloom.sinks import (
     save_parquet,
     scratch_folder,
 )
-from cartloom.sinks.snapshots import run_together
+from cartloom.sinks.snapshots import latest_path, run_together, snapshot_path
 from cartloom.sources import extract_all, read_latest
 
 @dataclass(frozen=True)
@@ -137,8 +138,8 @@ class Metrics:
         counts = [F.expr(f"count_if({c}) as `{name}`") for name, c in conditions.items()]
         return df.observe(observation, *counts)
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(table, step, o.get.get(step, 0)) for table, step, o in self._seen]
+    def frame(self, spark: SparkSession, more: list[tuple[str, str, int]]) -> DataFrame:
+        rows = [(table, step, o.get.get(step, 0)) for table, step, o in self._seen] + more
         return spark.createDataFrame(rows, "table string, step string, rows bigint")
 
 
@@ -165,6 +166,24 @@ def materialise(
     }
 
 
+def written_rows(
+    spark: SparkSession, base: str, tables: list[str], params: JobParams
+) -> list[tuple[str, str, int]]:
+    """Rows of every table just written, counted from its files."""
+    if not (params.write_latest or params.write_partitioned):
+        return []
+    counts = []
+    for table in tables:
+        dated = f"{snapshot_path(base, table)}/dt={params.run_date}"
+        path = latest_path(base, table) if params.write_latest else dated
+        counts.append(
+            spark.read.parquet(path).agg(
+                F.lit(table).alias("table"), F.lit("written").alias("step"), F.expr("count(1) as n")
+            )
+        )
+    return [tuple(row) for row in reduce(DataFrame.union, counts).collect()]  # a row per table
+
+
 def run(
     spark: SparkSession, params: JobParams, raw: dict[str, DataFrame] | None = None
 ) -> JobResult:
@@ -196,7 +215,11 @@ def run(
         quality.enforce(quality.validate_warehouse(warehouse, mart_tables))
         load_warehouse(warehouse, mart_tables, params)
         published = publish({**warehouse, **mart_tables}, params)
-        return JobResult(metrics.frame(spark), published)
+        written = [
+            *written_rows(spark, params.staging_base, list(staged), params),
+            *written_rows(spark, params.warehouse_base, [*warehouse, *mart_tables], params),
+        ]
+        return JobResult(metrics.frame(spark, written), published)
     finally:
         drop_scratch(spark, work)
 

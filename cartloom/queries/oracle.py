@@ -354,6 +354,10 @@ def _job_rows() -> str:
     sources |= {("built", t): f"stg_{t}" for t in RAW_SQL}
     sources |= {("built", t): t for t in ("dim_date", "fact_orders", "fact_order_items")}
     sources |= {("built", m): m for m in MART_TABLES}
+    sources |= {("written", t): f"stg_{t}" for t in RAW_SQL}
+    staged = {"dim_customers": "customers", "dim_products": "products", "fact_payments": "payments"}
+    sources |= {("written", t): f"stg_{source}" for t, source in staged.items()}
+    sources |= {("written", t): t for t in ("dim_date", "fact_orders", "fact_order_items", *MART_TABLES)}
     parts = [
         f"""select '{table}' as "table", '{step}' as step, {_rows()} as "rows" from {source}"""
         for (step, table), source in sources.items()

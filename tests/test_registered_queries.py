@@ -4,6 +4,8 @@ import pytest
 from oracle_check import compare, database
 
 from __spark_entry__ import entry, oracle_sql, queries
+from cartloom.queries.oracle import ORACLE
+from cartloom.queries.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,14 +16,16 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(oracle_sql()) <= set(queries())
+    assert QUERIES.keys() <= queries().keys()
 
 
 def test_entry(spark):
     assert entry(spark).count() == 7
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, FOLDER, name, con) == []
 
