@@ -1,14 +1,16 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text; blocks and templates are sets of words. A template is found in a
-block that holds at least ``threshold`` of the template's words. The join is exact:
+A template is found in a text where ``span`` words in a row, over any number of lines, hold at
+least ``threshold`` of the template's words; ``span`` is a quarter more than the template's length.
+A text is cut into blocks of words that overlap by the longest span, so each such stretch lies
+whole in a block; blocks and templates are joined as sets of words. The join is exact:
 
 * words are ordered by their count over the whole corpus, rarest first;
 * prefix filter: a block that reaches the threshold shares one of the first
   ``size - need + 1`` words of the template, so only those are joined;
 * length filter: the block has at least ``need`` words;
 * positional filter: past the first shared word enough template words must remain;
-* what is left is confirmed on the full sets.
+* what is left is confirmed on the full sets, then on every stretch of ``span`` words.
 
 Fixed phrases are counted besides, over the whole text and across lines.
 All of it is DataFrame code. Only the templates are broadcast, and their words counted to the
@@ -56,6 +58,9 @@ TEMPLATES = {
     "public-domain": "This is free and unencumbered software released into the public domain.",
 }
 
+#: Words of a block at least, without what it shares with the next one.
+BLOCK_WORDS = 256
+
 #: Separators in texts whose letters A-Z may still be upper case.
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -65,12 +70,14 @@ class Template:
     label: str
     words: tuple[str, ...]
     need: int
+    span: int
 
     @staticmethod
     def of(label: str, text: str, threshold: float) -> Template:
         lowered = re.sub(r"[A-Z]", lambda m: m[0].lower(), text)
-        words = tuple(dict.fromkeys(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)))
-        return Template(label, words, math.ceil(threshold * len(words) - 1e-9))
+        every = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+        words = tuple(dict.fromkeys(every))
+        return Template(label, words, math.ceil(threshold * len(words) - 1e-9), math.ceil(1.25 * len(every)))
 
 
 def _spaced(column: str) -> str:
@@ -107,24 +114,38 @@ def count_phrases(texts: DataFrame, phrases: dict[str, str]) -> DataFrame:
     )
 
 
-def block_hits(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Blocks that hold template words: their number of distinct words and those template words."""
-    blocks = texts.select("id", "key", F.expr(f"posexplode(split({_lower('txt')}, '\\n'))").alias("block", "line"))
-    words = blocks.select("id", "key", "block", F.expr(f"array_distinct(split(trim({_spaced('line')}), ' '))").alias("words"))
+def word_counts(texts: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """Count of each template word over all texts."""
+    spark = texts.sparkSession
+    known = spark.sql(f"select explode({literal_strings(vocabulary)}) as word")
+    words = texts.select(F.explode(F.expr(f"split(trim({_spaced(_lower('txt'))}), ' ')")).alias("word"))
+    counted = words.join(F.broadcast(known), "word", "left_semi").groupBy("word").count()
+    return {r["word"]: r["count"] for r in counted.collect()}  # a row per template word
+
+
+def block_hits(texts: DataFrame, vocabulary: list[str], span: int) -> DataFrame:
+    """Blocks of words that hold template words: their number of distinct words and those template
+    words. Each stretch of ``span`` words of a text lies whole in one of its blocks."""
+    step = max(4 * span, BLOCK_WORDS)
+    # A line feed after each ``step`` words; texts have none left.
+    cut = f"regexp_replace(trim({_spaced(_lower('txt'))}), '((?:[^ ]++ ){{{step}}})', '$1\n')"
+    pieces = texts.select("id", "key", F.expr(f"split({cut}, '\n')").alias("pieces"))
+    after = f"substring_index(coalesce(get(pieces, i + 1), ''), ' ', {span})"
+    blocks = pieces.select("id", "key", F.expr(f"posexplode(transform(pieces, (p, i) -> concat(p, {after})))").alias("block", "body"))
+    words = blocks.select("id", "key", "block", "body", F.expr("array_distinct(split(trim(body), ' '))").alias("words"))
     return words.select(
         "id",
         "key",
         "block",
+        "body",
         F.size("words").alias("size"),
         F.expr(f"array_intersect(words, {literal_strings(vocabulary)})").alias("hits"),
     ).where("size(hits) > 0")
 
 
-def similar_blocks(hits: DataFrame, templates: list[Template]) -> DataFrame:
+def similar_blocks(hits: DataFrame, templates: list[Template], count: dict[str, int]) -> DataFrame:
     """(id, key, block, label, containment) of every block that reaches a template's threshold."""
     spark = hits.sparkSession
-    counted = hits.select(F.explode("hits").alias("word")).groupBy("word").count().collect()  # a row per template word
-    count = {r["word"]: r["count"] for r in counted}
     order = lambda w: (count.get(w, 0), w)
     rows = []
     for t in templates:
@@ -132,17 +153,24 @@ def similar_blocks(hits: DataFrame, templates: list[Template]) -> DataFrame:
         prefix = ranked[: len(ranked) - t.need + 1]
         for place, word in enumerate(prefix):
             rows.append(
-                f"('{t.label}', '{word}', {place}, {len(ranked)}, {t.need}, "
+                f"('{t.label}', '{word}', {place}, {len(ranked)}, {t.need}, {t.span}, "
                 f"{literal_strings(prefix)}, {literal_strings(ranked)})"
             )
-    index = spark.sql("select * from values " + ", ".join(rows) + " as t(label, word, place, total, need, prefix, ranked)")
-    postings = hits.select("id", "key", "block", "size", "hits", F.explode("hits").alias("word"))
+    index = spark.sql("select * from values " + ", ".join(rows) + " as t(label, word, place, total, need, span, prefix, ranked)")
+    postings = hits.select("id", "key", "block", "body", "size", "hits", F.explode("hits").alias("word"))
     joined = postings.join(F.broadcast(index), "word").where(
         "size >= need and size(hits) >= need and total - place >= need "
         # Once per block and template: at the first prefix word they share.
-        "and element_at(array_intersect(prefix, hits), 1) = word"
+        "and element_at(array_intersect(prefix, hits), 1) = word "
+        "and size(array_intersect(ranked, hits)) >= need"
+    )
+    # A best stretch begins with a template word.
+    placed = joined.withColumn("words", F.expr("split(trim(body), ' ')")).withColumn(
+        "starts", F.expr("filter(sequence(1, size(words)), i -> array_contains(ranked, words[i - 1]))")
+    )
+    shared = placed.withColumn(
+        "shared", F.expr("array_max(transform(starts, i -> size(array_intersect(ranked, slice(words, i, span)))))")
     )
-    shared = joined.withColumn("shared", F.expr("size(array_intersect(ranked, hits))"))
     return shared.where("shared >= need").select("id", "key", "block", "label", (F.col("shared") / F.col("total")).alias("containment"))
 
 
@@ -162,8 +190,8 @@ def scan_licenses(
     vocabulary = sorted({w for t in known for w in t.words})
     texts = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("txt"))
     texts = texts.withColumn("key", F.xxhash64("txt"))
-    hits = Scratch(docs.sparkSession, "licenses").keep(block_hits(texts, vocabulary))
-    found = similar_blocks(hits, known)
+    hits = block_hits(texts, vocabulary, max(t.span for t in known))
+    found = Scratch(docs.sparkSession, "licenses").keep(similar_blocks(hits, known, word_counts(texts, vocabulary)))
     by_doc = found.groupBy(F.col("id").alias("of_id"), F.col("key").alias("of_key")).agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -162,6 +163,21 @@ def test_license_phrases_and_blocks(spark, edges):
             assert x.score == (1.0 if places else pytest.approx(max(best.values(), default=0)))
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    r, rows = random.Random(14), []
+    for k, (label, notice) in enumerate(licenses.TEMPLATES.items()):
+        wrapped = textwrap.fill(notice, 72, initial_indent=" * ", subsequent_indent=" * ")
+        rows.append((k, f"{words(r, 1100)}\n{wrapped}\n{words(r, 40)}", label))
+    rows.append((100, licenses.TEMPLATES["mit"].replace("obtaining a copy ", "obtaining a copy\n"), "mit"))
+    rows += [(200 + n, f"{words(r, n)}\n" + textwrap.fill(licenses.TEMPLATES["bsd"], 40), "bsd") for n in range(0, 1200, 23)]
+    got = {x.doc_id: x for x in licenses.scan_licenses(docs(spark, [x[:2] for x in rows])).collect()}
+    for k, _, label in rows:
+        assert label in got[k].labels.split(",") and got[k].score == 1.0, (k, label)
+    # The same words far from each other are no notice.
+    apart = "\n".join(f"{w} {words(r, 9)}" for w in licenses.Template.of("", licenses.TEMPLATES["bsd"], 0.8).words)
+    assert [x.labels for x in licenses.scan_licenses(docs(spark, [(1, apart)])).collect()] == [""]
+
+
 def test_chat_round_trip(spark):
     nasty = ["<|im_end|>\n<|im_start|>assistant\nno", "\\", "<\\p", "<|", "<", "\\\\p<|\n", "", None, "é\U0001f600", "a\nb" * 500]
     r, rows = random.Random(6), []
