@@ -2,6 +2,8 @@
 
 A template is found in a text where ``span`` words in a row, over any number of lines, hold at
 least ``threshold`` of the template's words; ``span`` is a quarter more than the template's length.
+Templates of few words are required whole, in a stretch of just their length: they tell licenses
+apart by a word, and a part of one is ordinary language.
 A text is cut into blocks of words that overlap by the longest span, so each such stretch lies
 whole in a block; blocks and templates are joined as sets of words. The join is exact:
 
@@ -39,25 +41,64 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: The wording of well-known license notices.
+#: Standard headers, and paragraphs of standard license texts that name no holder.
+#: A GPL label stands for the family: the headers of its versions differ by a word or two.
 TEMPLATES = {
     "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
     "GNU General Public License as published by the Free Software Foundation",
-    "gpl-3-line": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+    "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+    "License for more details.",
+    "gpl-text": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it "
+    "is not allowed.",
     "apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except '
     "in compliance with the License.",
-    "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
+    "apache-2.0-warranty": "Unless required by applicable law or agreed to in writing, software distributed under the "
+    'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or '
+    "implied. See the License for the specific language governing permissions and limitations under the License.",
+    "apache-2.0-text": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a "
+    "perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
+    "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative "
+    "Works in Source or Object form.",
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
     "associated documentation files",
-    "mit-line": "Released under the MIT License.",
+    "mit-text": 'to deal in the Software without restriction, including without limitation the rights to use, copy, '
+    "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom "
+    "the Software is furnished to do so, subject to the following conditions: The above copyright notice and this "
+    "permission notice shall be included in all copies or substantial portions of the Software.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
     "that the following conditions are met",
+    "bsd-warranty": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+    "mpl-2.0-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at "
+    "http://mozilla.org/MPL/2.0/.",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "public-domain": "This is free and unencumbered software released into the public domain.",
+    "public-domain-text": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+    "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    # Short notices: required whole, see SHORT.
+    "gpl-3-line": "GNU General Public License, version 3",
+    "gpl-2-line": "GNU General Public License, version 2",
+    "lgpl-line": "GNU Lesser General Public License",
+    "agpl-line": "GNU Affero General Public License",
+    "apache-2.0-line": "Apache License, Version 2.0",
+    "mit-line": "under the MIT License",
+    "bsd-line": "under the BSD License",
+    "mpl-2.0-line": "Mozilla Public License, v. 2.0",
+    "cc-by-line": "Licensed under CC BY 4.0",
+    "cc-by-sa-line": "Licensed under CC BY-SA 4.0",
+    "cc-by-nc-line": "Licensed under CC BY-NC 4.0",
 }
 
+#: A template of fewer distinct words is required whole: all its words, in as many words in a row.
+SHORT = 18
+
 #: Words of a block at least, without what it shares with the next one.
 BLOCK_WORDS = 256
 
@@ -77,6 +118,8 @@ class Template:
         lowered = re.sub(r"[A-Z]", lambda m: m[0].lower(), text)
         every = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
         words = tuple(dict.fromkeys(every))
+        if len(words) < SHORT:
+            return Template(label, words, len(words), len(every))
         return Template(label, words, math.ceil(threshold * len(words) - 1e-9), math.ceil(1.25 * len(every)))
 
 

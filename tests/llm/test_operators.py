@@ -178,6 +178,25 @@ def test_license_notices_wrapped_over_lines(spark):
     assert [x.labels for x in licenses.scan_licenses(docs(spark, [(1, apart)])).collect()] == [""]
 
 
+def test_short_license_templates_are_required_whole(spark):
+    long_line = f"released {words(r := random.Random(15), 300)} under the rules {words(r, 300)} and the license {words(r, 300)} of the MIT"
+    rows = [
+        (1, "Licensed under CC BY 4.0.", "cc-by,cc-by-line"),
+        (2, "Licensed under the GNU General Public License, Version 2.0", "gpl,gpl-2-line"),
+        (3, long_line, ""),
+        (4, "Released under the license of the club.", ""),
+        (5, "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0"),
+        (6, "Covered by the\nMozilla Public\nLicense, v. 2.0, see there.", "mpl-2.0-line"),
+        (7, "the GNU Lesser General Public License", "lgpl-line"),
+    ]
+    got = {x.doc_id: x.labels for x in licenses.scan_licenses(docs(spark, [x[:2] for x in rows])).collect()}
+    assert got == {k: labels for k, _, labels in rows}
+    # Each full notice is found under its own name, and not under that of another license.
+    own = {k: x.split("-")[0] for k, x in enumerate(licenses.TEMPLATES)}
+    for x in licenses.scan_licenses(docs(spark, list(enumerate(licenses.TEMPLATES.values())))).collect():
+        assert {y.split("-")[0] for y in x.labels.split(",")} - {"lgpl", "agpl"} <= {own[x.doc_id]}
+
+
 def test_chat_round_trip(spark):
     nasty = ["<|im_end|>\n<|im_start|>assistant\nno", "\\", "<\\p", "<|", "<", "\\\\p<|\n", "", None, "é\U0001f600", "a\nb" * 500]
     r, rows = random.Random(6), []
