@@ -4,7 +4,7 @@
 2. A naive Bayes classifier over the bins is fitted on all labelled rows, by counting: it gives
    every text posteriors over the domains of the label table.
 3. Texts of equal bins have equal posteriors, so they are summed to cells of tokens.
-4. Projected gradient descent on the cells finds rates ``0 <= rate <= most`` that minimise
+4. Projected gradient descent on the cells finds rates ``0 <= rate <= most``, if bounded, that minimise
    ``sum_k (tokens_k(rate) - target_k)^2 / (2 tokens_k(1))``, where ``tokens_k`` is the expected
    number of tokens of domain k. In the scaled space each step is ``rate -= p . e`` with e the
    relative misses; its curvature is at most 1, so the step is safe. Every round is one small
@@ -42,9 +42,13 @@ MEASURES = {
 }
 
 
+#: Descent ends at this miss of every domain, relative to its target, or at so little change.
+CLOSE, STILL = 1e-3, 1e-6
+
+
 @dataclass(frozen=True)
 class Targets:
-    """``weights``: share of ``budget`` tokens by domain (budget None: all present tokens), or
+    """``weights``: share of ``budget`` tokens by domain (budget None: their present tokens), or
     ``factors``: wanted tokens by domain as a multiple of the present ones. Others keep theirs."""
 
     weights: dict[str, float] = field(default_factory=dict)
@@ -52,12 +56,12 @@ class Targets:
     factors: dict[str, float] = field(default_factory=dict)
 
     def of(self, present: dict[str, float]) -> dict[str, float]:
-        budget = self.budget or sum(present.values())
         total = sum(self.weights.values())
+        budget = self.budget or sum(tokens for k, tokens in present.items() if k in self.weights)
         out = {}
         for k, tokens in present.items():
-            if self.weights:
-                out[k] = budget * self.weights.get(k, 0.0) / total
+            if k in self.weights:
+                out[k] = budget * self.weights[k] / total
             else:
                 out[k] = tokens * self.factors.get(k, 1.0)
         return out
@@ -121,27 +125,39 @@ def _posteriors(model) -> str:
     return "array(" + ", ".join(scores) + ")"
 
 
-def fit_rates(cells: DataFrame, domains: list[str], targets: Targets, most: float, rounds: int, scratch: Scratch) -> DataFrame:
-    """Adds ``rate`` to cells of (bins, tokens, p)."""
+def fit_rates(
+    cells: DataFrame, domains: list[str], targets: Targets, most: float | None, rounds: int, scratch: Scratch
+) -> tuple[DataFrame, dict[str, float]]:
+    """Adds ``rate`` to cells of (bins, tokens, p); and the miss left by domain, relative to its target.
+
+    Descent ends when no domain misses its target by over ``CLOSE`` of it, or when no domain's
+    tokens change any more by ``STILL`` of them: then the targets are out of reach of the bounds.
+    """
 
     def totals(df: DataFrame) -> list[float]:
         row = df.agg(*[F.sum(F.col("tokens") * F.col("rate") * F.col("p")[k]).alias(f"t{k}") for k in range(len(domains))]).first()
         return [float(x or 0) for x in row]
 
-    current = cells.withColumn("rate", F.lit(1.0))
-    present = totals(current)
-    wanted = targets.of(dict(zip(domains, present, strict=True)))
-    last = None
+    step = "greatest(0d, r - (" + " + ".join(f"p[{k}] * m[{k}]" for k in range(len(domains))) + "))"
+    step = step if most is None else f"least({most}d, {step})"
+    base, moves = cells.withColumn("rate", F.lit(1.0)), []
+    current = base
+    present = have = totals(current)
+    target = targets.of(dict(zip(domains, present, strict=True)))
+    wanted = [target[d] for d in domains]
     for _ in range(rounds):
-        have = totals(current)
-        miss = [(h - wanted[d]) / max(s, 1.0) for h, s, d in zip(have, present, domains, strict=True)]
-        loss = sum(m * m * s for m, s in zip(miss, present, strict=True))
-        if last is not None and last - loss <= 1e-6 * max(sum(present), 1.0):
+        if all(abs(h - w) <= CLOSE * max(w, 1.0) for h, w in zip(have, wanted, strict=True)):
+            break
+        # Rounds are replayed on the kept rates; every few of them are written.
+        moves.append("array(" + ", ".join(f"{(h - w) / max(s, 1.0)!r}d" for h, w, s in zip(have, wanted, present, strict=True)) + ")")
+        current = base.withColumn("rate", F.expr(f"aggregate(array({', '.join(moves)}), rate, (r, m) -> {step})"))
+        if len(moves) == 10:
+            base, moves = scratch.keep(current), []
+            current = base
+        before, have = have, totals(current)
+        if all(abs(h - b) <= STILL * max(w, 1.0) for h, b, w in zip(have, before, wanted, strict=True)):
             break
-        last = loss
-        move = " + ".join(f"p[{k}] * {m!r}d" for k, m in enumerate(miss))
-        current = scratch.keep(current.withColumn("rate", F.expr(f"least({most}d, greatest(0d, rate - ({move})))")))
-    return current
+    return scratch.keep(current), {d: (h - w) / max(w, 1.0) for d, h, w in zip(domains, have, wanted, strict=True)}
 
 
 def mix_sources(
@@ -151,14 +167,17 @@ def mix_sources(
     id_column: str = "doc_id",
     text_column: str = "text",
     domain: str = "concat(lang, case when quality > 0 then '' else '-junk' end)",
-    most: float = 4.0,
-    rounds: int = 40,
+    most: float | None = None,
+    rounds: int = 400,
     with_rows: bool = False,
 ) -> DataFrame:
-    """(id, n_tokens, domain, posterior, rate, copies) per document row, and the row if asked.
+    """(id, n_tokens, domain, posterior, rate, copies, miss) per document row, and the row if asked.
 
     ``domain`` is a SQL expression over the columns of documents and labels: the label of a
-    labelled row. ``most`` bounds the rates; with 1 no row is repeated.
+    labelled row. ``most`` bounds the rates; with 1 no row is repeated, and without it every
+    domain with tokens can grow to its target. ``miss`` is what the fit leaves between the expected
+    tokens of the row's domain and their target, relative to the target: not near 0 where the
+    target is out of reach.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     given = binned(docs, id_column, text_column)
@@ -176,7 +195,7 @@ def mix_sources(
     cells = scratch.keep(
         scored.select("bins", "tokens", F.expr("transform(odds, o -> o / aggregate(odds, 0d, (a, x) -> a + x))").alias("p"))
     )
-    rates = fit_rates(cells, names, targets, most, rounds, scratch)
+    rates, miss = fit_rates(cells, names, targets, most, rounds, scratch)
     table = rates.select("bins", F.expr(f"element_at(array({', '.join(repr(n) for n in names)}), cast(array_position(p, array_max(p)) as int))").alias("domain"), F.col("p").alias("posterior"), "rate")
     source = given if with_rows else narrow.select("id", "tokens", "bins")
     draw = "pmod(xxhash64(id, 17), 1000000) / 1000000d"
@@ -188,4 +207,5 @@ def mix_sources(
         "posterior",
         "rate",
         F.expr(f"cast(floor(rate + {draw}) as int)").alias("copies"),
+        F.expr("case domain " + " ".join(f"when {n!r} then {miss[n]!r}d" for n in names) + " end").alias("miss"),
     )

@@ -336,6 +336,26 @@ def test_mixing_meets_targets(spark, edges):
     assert len(none) == len(EDGES)
 
 
+def test_mixing_meets_the_targets_of_small_domains(spark):
+    r, rows = random.Random(16), []
+    looks = {"en": str, "de": lambda w: w.replace("a", "ß"), "fr": lambda w: w.replace("a", "è"), "es": lambda w: w.upper().replace(" ", "!! ")}
+    for i in range(2004):
+        lang = "en" if i % 100 > 2 else ["de", "fr", "es"][i % 100]
+        rows.append((i, looks[lang](words(r, 60)), lang, "s", 1, 1, "x", "y", 2))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2004)], "doc_id long, quality int, toxic int")
+    targets = mixing.Targets(weights={"en": 0.5, "de": 0.25, "fr": 0.25}, budget=100_000)
+    got = mixing.mix_sources(df, labels, targets).collect()
+    tokens, present = Counter(), Counter()
+    for x in got:
+        tokens[x.domain] += x.n_tokens * x.rate
+        present[x.domain] += x.n_tokens
+    assert {d: tokens[d] for d in ("en", "de", "fr")} == pytest.approx({"en": 50_000, "de": 25_000, "fr": 25_000}, rel=0.02)
+    assert tokens["es"] == pytest.approx(present["es"], rel=0.01) and max(abs(x.miss) for x in got) <= 1e-3
+    capped = {x.domain: x.miss for x in mixing.mix_sources(df, labels, targets, most=1.0).collect()}
+    assert capped["de"] < -0.5 and abs(capped["en"]) <= 0.01
+
+
 def test_packing_round_trip(spark, edges):
     r = random.Random(11)
     rows = [(i, words(r, r.choice([3, 50, 900, 4000]))) for i in range(60)]
