@@ -170,37 +170,39 @@ def block_hits(texts: DataFrame, vocabulary: list[str], span: int) -> DataFrame:
     """Blocks of words that hold template words: their number of distinct words and those template
     words. Each stretch of ``span`` words of a text lies whole in one of its blocks."""
     step = max(4 * span, BLOCK_WORDS)
-    # A line feed after each ``step`` words; texts have none left.
-    cut = f"regexp_replace(trim({_spaced(_lower('txt'))}), '((?:[^ ]++ ){{{step}}})', '$1\n')"
+    # A line feed after each ``step`` words; texts have none left. The rest matches too, so no place is tried twice.
+    cut = f"regexp_replace(ltrim({_spaced(_lower('txt'))}), '((?:[^ ]++ ){{1,{step}}}+)', '$1\n')"
     pieces = texts.select("id", "key", F.expr(f"split({cut}, '\n')").alias("pieces"))
     after = f"substring_index(coalesce(get(pieces, i + 1), ''), ' ', {span})"
     blocks = pieces.select("id", "key", F.expr(f"posexplode(transform(pieces, (p, i) -> concat(p, {after})))").alias("block", "body"))
-    words = blocks.select("id", "key", "block", "body", F.expr("array_distinct(split(trim(body), ' '))").alias("words"))
+    # Exploded arrays of one element keep the optimizer from repeating what they hold.
+    words = blocks.select("id", "key", "block", "body", F.expr("explode(array(array_distinct(split(trim(body), ' '))))").alias("words"))
     return words.select(
         "id",
         "key",
         "block",
         "body",
         F.size("words").alias("size"),
-        F.expr(f"array_intersect(words, {literal_strings(vocabulary)})").alias("hits"),
-    ).where("size(hits) > 0")
+        F.expr(f"explode(array(array_intersect(words, {literal_strings(vocabulary)})))").alias("hits"),
+    )
 
 
 def similar_blocks(hits: DataFrame, templates: list[Template], count: dict[str, int]) -> DataFrame:
     """(id, key, block, label, containment) of every block that reaches a template's threshold."""
     spark = hits.sparkSession
     order = lambda w: (count.get(w, 0), w)
-    rows = []
+    rows, first = [], set()
     for t in templates:
         ranked = sorted(t.words, key=order)
         prefix = ranked[: len(ranked) - t.need + 1]
+        first.update(prefix)
         for place, word in enumerate(prefix):
             rows.append(
                 f"('{t.label}', '{word}', {place}, {len(ranked)}, {t.need}, {t.span}, "
                 f"{literal_strings(prefix)}, {literal_strings(ranked)})"
             )
     index = spark.sql("select * from values " + ", ".join(rows) + " as t(label, word, place, total, need, span, prefix, ranked)")
-    postings = hits.select("id", "key", "block", "body", "size", "hits", F.explode("hits").alias("word"))
+    postings = hits.select("id", "key", "block", "body", "size", "hits", F.explode(F.expr(f"array_intersect(hits, {literal_strings(sorted(first))})")).alias("word"))
     joined = postings.join(F.broadcast(index), "word").where(
         "size >= need and size(hits) >= need and total - place >= need "
         # Once per block and template: at the first prefix word they share.
@@ -208,13 +210,11 @@ def similar_blocks(hits: DataFrame, templates: list[Template], count: dict[str,
         "and size(array_intersect(ranked, hits)) >= need"
     )
     # A best stretch begins with a template word.
-    placed = joined.withColumn("words", F.expr("split(trim(body), ' ')")).withColumn(
-        "starts", F.expr("filter(sequence(1, size(words)), i -> array_contains(ranked, words[i - 1]))")
-    )
-    shared = placed.withColumn(
-        "shared", F.expr("array_max(transform(starts, i -> size(array_intersect(ranked, slice(words, i, span)))))")
-    )
-    return shared.where("shared >= need").select("id", "key", "block", "label", (F.col("shared") / F.col("total")).alias("containment"))
+    placed = joined.select("id", "key", "block", "label", "total", "need", "span", "ranked", F.expr("explode(array(split(trim(body), ' ')))").alias("words"))
+    starts = "filter(sequence(1, size(words)), i -> array_contains(ranked, words[i - 1]))"
+    best = f"array_max(transform({starts}, i -> size(array_intersect(ranked, slice(words, i, span)))))"
+    shared = placed.select("id", "key", "block", "label", "total", F.expr(f"explode(filter(array({best}), s -> s >= need))").alias("shared"))
+    return shared.select("id", "key", "block", "label", (F.col("shared") / F.col("total")).alias("containment"))
 
 
 def scan_licenses(
