@@ -23,7 +23,7 @@ from cartloom.operators import (
     top_values,
     with_row_salt,
 )
-from cartloom.operators.skew import SALTS
+from cartloom.operators.skew import ROW_SALTS, SALTS
 
 
 def test_dedupe_keeps_the_first_by_order(spark):
@@ -248,9 +248,16 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
 
 def test_row_salt_spreads_identical_rows(spark):
     copies = spark.range(100_000, numPartitions=4).selectExpr("'same' as k")
-    sizes = with_row_salt(copies).groupBy("_row_salt").count().collect()
-    assert len(sizes) == SALTS
-    assert max(r["count"] for r in sizes) < 2 * 100_000 / SALTS
+    salts = with_row_salt(copies).select("_row_salt")
+    # Over a million salts, 100,000 rows meet rarely ...
+    bounds = salts.agg(F.min("_row_salt").alias("low"), F.max("_row_salt").alias("high"), F.countDistinct("_row_salt").alias("n")).first()
+    assert 0 <= bounds.low < 0.01 * ROW_SALTS and 0.99 * ROW_SALTS < bounds.high < ROW_SALTS
+    assert bounds.n > 90_000
+    # ... and the parts that a join makes of them are of even size, whatever their number.
+    for parts in (7, 64, SALTS):
+        sizes = [r["count"] for r in salts.groupBy(F.pmod("_row_salt", F.lit(parts))).count().collect()]
+        assert len(sizes) == parts
+        assert max(sizes) < 2 * 100_000 / parts
 
 
 def test_other_join_types_are_refused(skewed):
