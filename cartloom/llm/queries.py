@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, shards, topk, toxicity
+from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, repair, shards, topk, toxicity
 from cartloom.llm.tables import read_table
 
 TARGETS = mixing.Targets(
@@ -71,6 +71,22 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents")).drop("loss_tokens")
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "conversations")
+    pieces = repair.repair_conversations(repair.damage(rows))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    report = pieces.where("piece = 0").select(F.col("conv_id").alias("id"), *counts, "audit")
+    digests = repair.repaired_digests(pieces).select(F.col("conv_id").alias("digest_id"), "sha256")
+    found = report.join(digests, F.expr("id <=> digest_id")).drop("digest_id")
+    every = rows.select("conv_id").distinct()
+    return every.join(found, F.expr("conv_id <=> id"), "left").select(
+        "conv_id",
+        *[F.expr(f"coalesce({c}, 0L)").alias(c) for c in counts],
+        F.expr("coalesce(audit, '')").alias("audit"),
+        F.expr("coalesce(sha256, sha2('', 256))").alias("repaired_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +95,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, pipeline)
+    for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, op13_repair, pipeline)
 }
 
 ORACLE = {
@@ -96,6 +112,66 @@ with v as (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
 )
 select query_id, cast(rank as integer) as rank, vec_id, cast(score as bigint) as score from r where rank <= 5
+""",
+    "op13_repair": r"""
+with recursive crc_table as (
+  select b, list_reduce(list_prepend(b, range(8)), lambda c, i: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1)) as v from range(256) t(b)
+), crc as (select list(v order by b) as t from crc_table
+), src as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations
+), marked as (
+  select src.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: cast(ord(x) as bigint))),
+    lambda c, x: xor(t[1 + (xor(c, x) & 255)], c >> 8)), 4294967295) % 20 as mark from src, crc
+), damaged as (
+  select conv_id, turn, if(mark = 4, 'user', role) as role,
+    case mark when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(if(mark = 3, [0, 1], [0])) as copy
+  from marked where mark <> 0
+), placed as (
+  select *, row_number() over w as n, row_number() over (partition by conv_id, role, text order by turn nulls first, sha256(text)) as seen,
+    lag(left(role, 1)) over w as before
+  from damaged window w as (partition by conv_id order by turn nulls first, role, sha256(text))
+), judged as (
+  select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, left(role, 1) as i,
+    not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as cut_off
+  from placed
+), faults as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (not blank and seen > 1) as duplicate,
+    count(*) filter (not blank and seen = 1 and cut_off) as truncated,
+    count(*) filter (before || i not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id
+), moves(p, i, q) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserted(p, q, cost, audit, body) as (  -- what up to two inserted rows do
+  select p, p, 0, '', [] :: varchar[] from range(4) t(p)
+  union all select p, q, 5, 'I', [if(i = 'u', 'user:', 'assistant:')] from moves where i <> 's'
+  union all select a.p, b.q, 10, 'II', [if(a.i = 'u', 'user:', 'assistant:'), if(b.i = 'u', 'user:', 'assistant:')]
+    from moves a join moves b on a.q = b.p where a.i <> 's' and b.i <> 's' and a.p <> b.q
+), edits as (  -- every edit of every row, with rows inserted behind it
+  select conv_id, n, e.p, s.q, e.cost + s.cost as cost, e.audit || s.audit as audit, list_concat(e.body, s.body) as body from (
+    select conv_id, n, p, p as q, 2 as cost, 'D' as audit, [] :: varchar[] as body from judged, range(4) t(p)
+    union all
+    select conv_id, n, m.p, m.q, k.cost + if(cut_off, 5, 0), k.audit, [if(k.audit = 'K', role, if(m.i = 'u', 'user', 'assistant')) || ':' || text]
+    from judged j, moves m, (values (0, 'K'), (1, 'R')) k(cost, audit)
+    where not blank and seen = 1 and if(k.audit = 'K', m.i = j.i, m.i <> 's')
+  ) e join inserted s on s.p = e.q
+), walk as (
+  select f.conv_id, cast(0 as bigint) as n, s.q, s.cost, s.audit, s.body from faults f, inserted s where s.p = 0
+  union all
+  select conv_id, n, q, cost, audit, body from (
+    select w.conv_id, e.n, e.q, w.cost + e.cost as cost, w.audit || e.audit as audit, list_concat(w.body, e.body) as body,
+      row_number() over (partition by w.conv_id, e.q order by w.cost + e.cost, w.audit || e.audit) as best
+    from walk w join edits e on e.conv_id is not distinct from w.conv_id and e.n = w.n + 1 and e.p = w.q
+  ) where best = 1
+), ends as (
+  select w.*, f.gaps, f.blank, f.duplicate, f.truncated, f.illegal, row_number() over (partition by w.conv_id order by w.cost, w.audit) as best
+  from walk w join faults f on f.conv_id is not distinct from w.conv_id and f.n = w.n where w.q in (0, 3)
+)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(cost, 0) as bigint) as cost,
+  coalesce(audit, '') as audit, sha256(coalesce(array_to_string(body, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join (select * from ends where best = 1) e on e.conv_id is not distinct from c.conv_id
 """,
     "op5_chat": """
 with t as (
