@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, repair, shards, topk, toxicity
+from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, repair, search, shards, topk, toxicity
 from cartloom.llm.tables import read_table
 
 TARGETS = mixing.Targets(
@@ -71,6 +71,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents")).drop("loss_tokens")
 
 
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), 50)
+
+
 def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = read_table(spark, folder, "conversations")
     pieces = repair.repair_conversations(repair.damage(rows))
@@ -95,7 +99,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, op13_repair, pipeline)
+    for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, op12_search, op13_repair, pipeline)
 }
 
 ORACLE = {
@@ -112,6 +116,27 @@ with v as (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
 )
 select query_id, cast(rank as integer) as rank, vec_id, cast(score as bigint) as score from r where rank <= 5
+""",
+    "op12_search": r"""
+with docs as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as terms
+  from documents where text is not null
+), total as (select count(*) as nd, sum(len(terms)) as l from docs where len(terms) > 0
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term from benchmark
+), counted as (
+  select r, doc_id, n, term, count(*) as tf from (select r, doc_id, len(terms) as n, unnest(terms) as term from docs)
+  where term in (select term from asked) group by all
+), weighed as (
+  select term, cast(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) as bigint) as w from counted, total group by term
+), scored as (
+  select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nd) // l)))) as score
+  from asked join weighed using (term) join counted using (term), total group by all
+)
+select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0) where rank <= 50
 """,
     "op13_repair": r"""
 with recursive crc_table as (
@@ -129,11 +154,10 @@ with recursive crc_table as (
     unnest(if(mark = 3, [0, 1], [0])) as copy
   from marked where mark <> 0
 ), placed as (
-  select *, row_number() over w as n, row_number() over (partition by conv_id, role, text order by turn nulls first, sha256(text)) as seen,
-    lag(left(role, 1)) over w as before
-  from damaged window w as (partition by conv_id order by turn nulls first, role, sha256(text))
+  select *, row_number() over w as n, lag(left(role, 1)) over w as before
+  from damaged window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)
 ), judged as (
-  select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, left(role, 1) as i,
+  select *, row_number() over (partition by conv_id, role, text order by n) as seen, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, left(role, 1) as i,
     not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as cut_off
   from placed
 ), faults as (
