@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, repair, search, shards, topk, toxicity
+from cartloom.llm import chat, language, licenses, minhash, mixing, packing, pii, quality, repair, search, shards, topk, toxicity
 from cartloom.llm.tables import read_table
 
 TARGETS = mixing.Targets(
@@ -71,6 +71,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents")).drop("loss_tokens")
 
 
+def op11_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return language.predict_language(docs, language.train_language(docs.where(~language.held_out())))
+
+
 def op12_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), 50)
 
@@ -99,7 +104,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, op12_search, op13_repair, pipeline)
+    for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, op11_language, op12_search, op13_repair, pipeline)
 }
 
 ORACLE = {

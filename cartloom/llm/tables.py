@@ -37,3 +37,24 @@ def literal_strings(values) -> str:
     """A SQL array literal."""
     escaped = (str(v).replace("\\", "\\\\").replace("'", "\\'") for v in values)
     return "array(" + ", ".join(f"'{v}'" for v in escaped) + ")"
+
+
+def bounded_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """At most ``n`` rows, all if there are no more, chosen by a hash of ``columns``.
+
+    The hash deals the rows into buckets of about n / 16 rows, and 64 of these buckets are taken in
+    order as long as they fit. Rows of equal columns share a bucket; one with too many copies is
+    passed over. Only the bucket counts reach the driver, and no row moves for it.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    modulus = max(64, 16 * total // max(n, 1))
+    bucket = F.pmod(F.xxhash64(*columns, F.lit(29)), F.lit(modulus))
+    counts = {r["bucket"]: r["count"] for r in df.select(bucket.alias("bucket")).where("bucket < 64").groupBy("bucket").count().collect()}
+    chosen, size = [], 0
+    for b, held in sorted(counts.items()):
+        if size + held <= n:
+            chosen.append(b)
+            size += held
+    return df.where(bucket.isin(chosen))
