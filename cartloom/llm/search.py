@@ -132,7 +132,7 @@ def _index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if len(known) > 500_000:  # hashes of terms met before, to save time
             known.clear()
-        for term in counts.keys() - known.keys():
+        for term in [t for t in counts if t not in known]:  # a difference of key sets would go over all known ones
             known[term] = xxhash.xxh3_64_intdigest(term)
         hashes = np.fromiter((known[t] for t in counts), np.uint64, len(counts))
         tf = np.fromiter(counts.values(), np.int64, len(counts))
