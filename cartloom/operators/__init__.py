@@ -4,7 +4,8 @@ from cartloom.operators.aggregate import agg_dropna, top_values
 from cartloom.operators.calendar import daily_calendar
 from cartloom.operators.dedupe import INGEST_ORDER, dedupe_first
 from cartloom.operators.impute import impute_median
-from cartloom.operators.quantile import exact_quantiles
+from cartloom.operators.positions import ingest_numbers, row_numbers
+from cartloom.operators.quantile import exact_quantiles, histogram, summarise
 from cartloom.operators.skew import hot_keys, salted_join, with_row_salt
 
 __all__ = [
@@ -13,9 +14,13 @@ __all__ = [
     "daily_calendar",
     "dedupe_first",
     "exact_quantiles",
+    "histogram",
     "hot_keys",
     "impute_median",
+    "ingest_numbers",
+    "row_numbers",
     "salted_join",
+    "summarise",
     "top_values",
     "with_row_salt",
 ]

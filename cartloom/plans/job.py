@@ -5,24 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cartloom.operators import top_values
 from cartloom.params import JobParams
 from cartloom.plans import dims, facts, marts, profile, quality, staging
 from cartloom.schemas import MART_TABLES
-from cartloom.sinks import (
-    drop_scratch,
-    load_staging,
-    load_warehouse,
-    publish,
-    save_parquet,
-    scratch_folder,
-)
-from cartloom.sinks.snapshots import latest_path, run_together, snapshot_path
+from cartloom.sinks import Attempt, publish, run_together, save_parquet
 from cartloom.sources import extract_all, read_latest
 
+
 @dataclass(frozen=True)
 class JobResult:
     metrics: DataFrame
@@ -122,43 +114,33 @@ DROPPED = {
 }
 
 
-class Metrics:
-    """Row counts taken while the tables are written, without extra passes."""
+def counted(
+    spark: SparkSession, tables: dict[str, DataFrame], step: str, extra: dict[str, dict[str, str]] | None = None
+) -> list[tuple[str, str, int]]:
+    """Rows per table, and those that meet the extra conditions, as results of queries.
 
-    def __init__(self) -> None:
-        self._seen: list[tuple[str, str, Observation]] = []
+    A query's result holds every row once, whatever tasks ran again; a count kept in accumulators
+    need not. Rows of Parquet files come from their footers.
+    """
 
-    def watch(
-        self, df: DataFrame, table: str, step: str, extra: dict[str, str] | None = None
-    ) -> DataFrame:
-        """Count the rows that pass, and those that meet the extra conditions."""
-        observation = Observation(f"{table}-{step}")
-        conditions = {step: "true", **(extra or {})}
-        self._seen += [(table, name, observation) for name in conditions]
-        counts = [F.expr(f"count_if({c}) as `{name}`") for name, c in conditions.items()]
-        return df.observe(observation, *counts)
+    def count(table: str, df: DataFrame) -> list[tuple[str, str, int]]:
+        conditions = {step: "true", **(extra or {}).get(table, {})}
+        measures = ["count(1)"] + [f"count_if({c})" for c in list(conditions.values())[1:]]
+        row = df.selectExpr(*[f"{m} as `{name}`" for m, name in zip(measures, conditions, strict=True)]).first()
+        return [(table, name, row[name]) for name in conditions]
 
-    def frame(self, spark: SparkSession, more: list[tuple[str, str, int]]) -> DataFrame:
-        rows = [(table, step, o.get.get(step, 0)) for table, step, o in self._seen] + more
-        return spark.createDataFrame(rows, "table string, step string, rows bigint")
+    return [one for rows in run_together(spark, [lambda t=t, d=d: count(t, d) for t, d in tables.items()]) for one in rows]
 
 
-def materialise(
-    spark: SparkSession,
-    tables: dict[str, DataFrame],
-    folder: str,
-    metrics: Metrics | None = None,
-) -> dict[str, DataFrame]:
+def materialise(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write the tables to a shared folder and read them back.
 
     Rules and later layers then start from files: nothing is computed twice, and losing
     executors costs no more than the stage they were in.
     """
-    metrics = metrics or Metrics()
-    watched = {name: metrics.watch(df, name, "built") for name, df in tables.items()}
     run_together(
         spark,
-        [lambda d=df, n=name: save_parquet(d, f"{folder}/{n}") for name, df in watched.items()],
+        [lambda d=df, n=name: save_parquet(d, f"{folder}/{n}") for name, df in tables.items()],
     )
     return {
         name: spark.read.schema(df.schema).parquet(f"{folder}/{name}")
@@ -166,62 +148,41 @@ def materialise(
     }
 
 
-def written_rows(
-    spark: SparkSession, base: str, tables: list[str], params: JobParams
-) -> list[tuple[str, str, int]]:
-    """Rows of every table just written, counted from its files."""
-    if not (params.write_latest or params.write_partitioned):
-        return []
-    counts = []
-    for table in tables:
-        dated = f"{snapshot_path(base, table)}/dt={params.run_date}"
-        path = latest_path(base, table) if params.write_latest else dated
-        counts.append(
-            spark.read.parquet(path).agg(
-                F.lit(table).alias("table"), F.lit("written").alias("step"), F.expr("count(1) as n")
-            )
-        )
-    return [tuple(row) for row in reduce(DataFrame.union, counts).collect()]  # a row per table
+# Warehouse tables that are staged tables as they are: their rows are no step of their own.
+AS_STAGED = ("dim_customers", "dim_products", "fact_payments")
 
 
 def run(
     spark: SparkSession, params: JobParams, raw: dict[str, DataFrame] | None = None
 ) -> JobResult:
-    """Run the whole job. A layer is written only after all its rules held."""
+    """Run the whole job. Each layer is written once, checked there, and put in place only after all its rules held."""
     raw = extract_all(spark, params) if raw is None else raw
-    work = scratch_folder(spark, "job")
-    metrics = Metrics()
+    staging_attempt, warehouse_attempt = Attempt(spark, params.staging_base, params), Attempt(spark, params.warehouse_base, params)
+    keeps = params.write_partitioned or params.write_latest
     try:
-        read = {
-            name: metrics.watch(df, name, "read", DROPPED.get(name)) for name, df in raw.items()
-        }
-        staged = materialise(spark, build_staging(read, params), f"{work}/staging", metrics)
+        rows = counted(spark, raw, "read", DROPPED)
+        staged = staging_attempt.write(build_staging(raw, params))
         statuses = quality.invalid_values(
             staged["orders"], "order_status", params.valid_order_statuses
         )
         quality.enforce(
             quality.validate_staging(staged, params), {"orders.order_status": statuses}
         )
-        load_staging(staged, params)
-
-        built = build_warehouse(staged)
-        # Both are staged tables as they are; no need to write them a second time here.
-        ready = {name: built.pop(name) for name in ("dim_customers", "dim_products")}
-        ready["fact_payments"] = built.pop("fact_payments")
-        warehouse = {**ready, **materialise(spark, built, f"{work}/warehouse", metrics)}
-        mart_tables = materialise(
-            spark, build_marts(warehouse, params), f"{work}/marts", metrics
-        )
+        staged = staging_attempt.publish()
+        rows += counted(spark, staged, "built")
+
+        warehouse = warehouse_attempt.write(build_warehouse(staged))
+        mart_tables = warehouse_attempt.write(build_marts(warehouse, params))
         quality.enforce(quality.validate_warehouse(warehouse, mart_tables))
-        load_warehouse(warehouse, mart_tables, params)
-        published = publish({**warehouse, **mart_tables}, params)
-        written = [
-            *written_rows(spark, params.staging_base, list(staged), params),
-            *written_rows(spark, params.warehouse_base, [*warehouse, *mart_tables], params),
-        ]
-        return JobResult(metrics.frame(spark, written), published)
+        ready = warehouse_attempt.publish()
+        rows += counted(spark, {t: df for t, df in ready.items() if t not in AS_STAGED}, "built")
+        if keeps:
+            rows += counted(spark, {**staged, **ready}, "written")
+        published = publish(ready, params)
+        return JobResult(spark.createDataFrame(rows, "table string, step string, rows bigint"), published)
     finally:
-        drop_scratch(spark, work)
+        staging_attempt.drop()
+        warehouse_attempt.drop()
 
 
 def profile_table(table: str, df: DataFrame, params: JobParams) -> dict[str, DataFrame]:
@@ -242,6 +203,31 @@ def profile_table(table: str, df: DataFrame, params: JobParams) -> dict[str, Dat
     return profiles
 
 
+def profile_published(
+    spark: SparkSession, params: JobParams, only: tuple[str, ...] = tuple(OUTPUT_VIEWS)
+) -> DataFrame:
+    """All profiles of the published tables in one frame, each table from one shared scan."""
+    frames = []
+    for table in only:
+        df, view = read_latest(spark, params.warehouse_base, table), OUTPUT_VIEWS[table]
+        keys = view.keys or (("date_id" if "date_id" in df.columns else "date",) if table == "dim_date" else ())
+        sold = table == "fact_orders"
+        frames.append(
+            profile.profile_rows(
+                table,
+                df,
+                keys,
+                view.numbers,
+                view.frequency,
+                view.top,
+                ("total_order_value", "total_payment_value") if sold else (),
+                f"order_status = '{params.revenue_status}'" if sold else "true",
+                "date" if table == "dim_date" else None,
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
+
+
 def check_published(
     spark: SparkSession, params: JobParams, only: tuple[str, ...] = tuple(OUTPUT_VIEWS)
 ) -> OutputReport:

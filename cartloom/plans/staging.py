@@ -14,6 +14,7 @@ from cartloom.functions import (
 )
 from cartloom.operators import dedupe_first, impute_median
 from cartloom.schemas import ORDER_TIMESTAMPS, PRODUCT_MEASURES
+from cartloom.sinks.scratch import written_once
 
 
 def clean_orders(df: DataFrame, timestamp_format: str | None = None) -> DataFrame:
@@ -42,13 +43,16 @@ def clean_customers(df: DataFrame) -> DataFrame:
 def clean_products(df: DataFrame, median_method: str = "exact") -> DataFrame:
     """First row per product; category normalised, missing measures set to their median.
 
-    The median is that of the deduplicated rows.
+    The median is that of the deduplicated rows. For an exact one these are written once to a
+    working folder, which feeds both the median and the result.
     """
     products = dedupe_first(df, "product_id")
     if "product_category_name" in df.columns:
         category = normalize_text("product_category_name")
         products = products.withColumn("product_category_name", category)
     measures = [c for c in PRODUCT_MEASURES if c in df.columns]
+    if measures and median_method == "exact":
+        products = written_once(products, "products")
     return impute_median(products, measures, median_method)
 
 

@@ -8,6 +8,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "payment_summary": ("total_payment_value",),
     "fact_orders": _ORDERS,
     "csv_roundtrip": _ORDERS,
+    "fact_orders_no_payments": _ORDERS,
+    "marts_no_items": ("revenue",),
     "mart_revenue_by_day": ("revenue",),
     "mart_revenue_by_month": ("revenue",),
     "mart_revenue_by_category": ("revenue",),

@@ -377,6 +377,51 @@ def _snapshots() -> str:
     )
 
 
+def _profiles() -> str:
+    """Every profile of every published table, in one long table."""
+
+    def rows(table: str, part: str, item: str, measure: str, value: str, source: str, text: str = "cast(null as varchar)") -> str:
+        return (
+            f"""select '{table}' as "table", '{part}' as part, {item} as item, '{measure}' as measure,"""
+            f""" round(cast({value} as double), 4) as value, {text} as text from {source}"""
+        )
+
+    keys = {"fact_orders": "order_id", "dim_customers": "customer_id", "dim_products": "product_id", "dim_date": "date_id"}
+    numbers = {
+        "fact_orders": "total_item_revenue total_shipping_cost total_order_value total_payment_value payment_diff item_count",
+        "fact_order_items": "price shipping_charges item_total",
+        "fact_payments": "payment_value",
+    }
+    frequency = {
+        "fact_orders": ("order_status", 10**6),
+        "fact_order_items": ("product_category_name", 10),
+        "fact_payments": ("payment_type", 10**6),
+        "dim_customers": ("customer_state", 10),
+        "dim_products": ("product_category_name", 10),
+    }
+    parts = []
+    for t in ("fact_orders", "fact_order_items", "fact_payments", "dim_customers", "dim_products", "dim_date", *MART_TABLES):
+        gaps = f"(unpivot (select sum(case when columns(*) is null then 1 else 0 end) as \"\\0\" from {t}) on columns(*) into name item value n)"
+        parts.append(rows(t, "shape", "''", "rows", "count(*)", t))
+        parts.append(rows(t, "shape", "''", "columns", "count(*)", gaps))
+        parts.append(rows(t, "nulls", "item", "count", "n", f"{gaps} where n > 0"))
+        if t in keys:
+            parts.append(rows(t, "duplicates", f"'{keys[t]}'", "count", f"count(*) - count(distinct {keys[t]})", t))
+        for c in numbers.get(t, "").split():
+            measures = {"count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})", "max": f"max({c})"}
+            measures |= {f"q{round(100 * p)}": f"quantile_cont(cast({c} as double), {p})" for p in (0.25, 0.5, 0.75)}
+            parts += [rows(t, "describe", f"'{c}'", m, sql, t) for m, sql in measures.items()]
+        if t in frequency:
+            c, most = frequency[t]
+            top = f"(select {c}, count(*) as n from {t} where {c} is not null group by {c} order by n desc, {c} limit {most})"
+            parts.append(rows(t, "frequency", f"'{c}'", "count", "n", top, c))
+    for c in ("total_order_value", "total_payment_value"):
+        parts.append(rows("fact_orders", "totals", f"'{c}'", "sum", _sum(c), "fact_orders where order_status = 'delivered'"))
+    for m in ("min", "max"):
+        parts.append(rows("dim_date", "range", "'date'", m, "null", "dim_date", f"cast({m}(date) as varchar)"))
+    return _published("\nunion all\n".join(parts))
+
+
 FACT_ORDER_COLUMNS = (
     "order_id",
     "customer_id",
@@ -469,6 +514,19 @@ _SQL = {
           cast(max_installments as double) as max_installments) from fact_orders""",
     "snapshot_rerun": _snapshots(),
     "publish_replace": _table("mart_payment_method_summary"),
+    "csv_first_rows": """
+        with lines as (select *, row_number() over (order by l_shipdate, l_orderkey, l_linenumber) as row_number from lineitem)
+        select cast(l_orderkey as varchar) as order_id, l_linenumber as line, strftime(l_shipdate, '%Y-%m-%d') as shipped,
+          cast(row_number as bigint) as row_number
+        from lines qualify row_number() over (partition by l_orderkey order by lines.row_number) = 1""",
+    "fact_orders_no_payments": _table("fact_orders"),
+    "marts_no_items": f"""
+        select order_year || '-' || order_month as period, {_sum("total_order_value")} as revenue, {_rows("order_id")} as orders
+        from fact_orders where order_status = 'delivered' and order_year is not null group by order_year, order_month
+        union all
+        select product_category_name, {_sum("item_total")}, {_rows("order_id")} from fact_order_items
+        where order_status = 'delivered' and product_category_name is not null group by product_category_name""",
+    "published_profiles": _profiles(),
     "job_row_counts": _job_rows(),
     "job_output_check": _output_rules(),
 }
@@ -479,4 +537,12 @@ def _to_six_places(name: str, sql: str) -> str:
     return f"select * replace ({rounded}) from ({sql}) as money" if columns else sql
 
 
-ORACLE = {name: _to_six_places(name, _with(sql)) for name, sql in _SQL.items()}
+# Queries over a raw table without rows.
+EMPTY = {"fact_orders_no_payments": "payments", "marts_no_items": "order_items"}
+
+
+def _emptied(name: str, sql: str) -> str:
+    return sql.replace(f"from raw_{EMPTY[name]}", f"from (select * from raw_{EMPTY[name]} where false)") if name in EMPTY else sql
+
+
+ORACLE = {name: _emptied(name, _to_six_places(name, _with(sql))) for name, sql in _SQL.items()}

@@ -14,6 +14,8 @@ from cartloom.operators import (
     dedupe_first,
     exact_quantiles,
     impute_median,
+    ingest_numbers,
+    row_numbers,
     top_values,
 )
 from cartloom.operators.skew import salted_join, with_row_salt
@@ -21,9 +23,8 @@ from cartloom.params import JobParams
 from cartloom.plans import dims, facts, job, marts, profile, quality, staging
 from cartloom.queries.money_columns import MONEY_COLUMNS
 from cartloom.schemas import REQUIRED_FACT_COLUMNS
-from cartloom.sinks import drop_scratch, latest_path, load_warehouse, publish, scratch_folder
-from cartloom.sinks.snapshots import snapshot_path
-from cartloom.sources import extract_all, raw_from_benchmark
+from cartloom.sinks import drop_scratch, latest_path, load_warehouse, publish, scratch_folder, snapshot_path
+from cartloom.sources import extract_all, raw_from_benchmark, read_csv_table
 from cartloom.sources.benchmark_tables import RAW_SQL, read_benchmark
 
 PARAMS = JobParams(run_date="2024-01-02")
@@ -357,10 +358,54 @@ def sorted_mart_latest(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_folder(spark, "sorted")
     mart = mart_top_products(spark, folder)
     load_warehouse({}, {"mart_top_products": mart}, PARAMS.with_(warehouse_base=base))
-    path = latest_path(base, "mart_top_products")
-    rows = spark.read.parquet(path).selectExpr("*", "_metadata.file_name as file", "_metadata.row_index as row")
-    place = "row_number() over (order by file, row) as place"
-    return rows.selectExpr("product_id", "product_category_name", "quantity", place)
+    rows = spark.read.parquet(latest_path(base, "mart_top_products"))
+    placed = row_numbers(rows.selectExpr("*", "_metadata.file_name as file", "_metadata.row_index as row"), "file", "row", "place")
+    return placed.selectExpr("product_id", "product_category_name", "quantity", "cast(place as int) as place")
+
+
+def csv_first_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The first row of each order over many CSV files with differing copies, and its number in the whole input."""
+    base = scratch_folder(spark, "lines")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    lines = read_benchmark(spark, folder, "lineitem").selectExpr(*order).repartitionByRange(16, *order).sortWithinPartitions(*order)
+    lines.selectExpr("l_orderkey as order_id", "l_linenumber as line", "date_format(l_shipdate, 'yyyy-MM-dd') as shipped").write.option("header", True).csv(base)
+    raw = ingest_numbers(read_csv_table(spark, base, "orders"))
+    first = dedupe_first(raw, "order_id")
+    return first.selectExpr("order_id", "cast(line as int) as line", "shipped", "row_number")
+
+
+def _without_rows(spark: SparkSession, folder: str, table: str) -> dict[str, DataFrame]:
+    raw = raw_from_benchmark(spark, folder, ("orders", "order_items", "payments"))
+    raw[table] = raw[table].where("false")
+    return {
+        "orders": staging.clean_orders(raw["orders"]),
+        "items": staging.clean_order_items(raw["order_items"]),
+        "payments": staging.clean_payments(raw["payments"]),
+    }
+
+
+def fact_orders_no_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """The order facts when no payment has come in."""
+    staged = _without_rows(spark, folder, "payments")
+    return facts.build_fact_orders(staged["orders"], staged["items"], staged["payments"])
+
+
+def marts_no_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by month and status by day when no item has come in, in one frame."""
+    staged = _without_rows(spark, folder, "order_items")
+    orders = facts.build_fact_orders(staged["orders"], staged["items"], staged["payments"])
+    months = marts.build_mart_revenue_by_month(orders)
+    products = facts.build_fact_order_items(staged["items"], staged["orders"], stg_products(spark, folder))
+    categories = marts.build_mart_revenue_by_category(products)
+    by_month = months.selectExpr("concat(order_year, '-', order_month) as period", "revenue", "orders")
+    return by_month.unionByName(categories.selectExpr("product_category_name as period", "revenue", "items_sold as orders"))
+
+
+def published_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """All profiles of every table that the whole job published."""
+    base, params, _ = _run_job(spark, folder)
+    found = job.profile_published(spark, params).withColumn("value", F.round("value", 4))
+    return _kept(spark, found, base)  # some rows per column
 
 
 def _run_job(spark: SparkSession, folder: str) -> tuple[str, JobParams, job.JobResult]:
@@ -440,6 +485,10 @@ QUERIES: dict[str, Query] = {
         snapshot_rerun,
         publish_replace,
         sorted_mart_latest,
+        csv_first_rows,
+        fact_orders_no_payments,
+        marts_no_items,
+        published_profiles,
         job_row_counts,
         job_output_check,
     )

@@ -1,75 +1,26 @@
 """Parquet snapshots: ``<base>/<table>/dt=<run date>`` and ``<base>/latest/<table>``.
 
-One table is one dataset partitioned by ``dt``, so readers prune by date.
+One table is one dataset partitioned by ``dt``, so readers prune by date. A rerun replaces the run
+date's folder, also by one without rows, and leaves the other dates alone.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartloom.params import JobParams
-from cartloom.schemas import PUBLISHED_ORDER
-
-# Independent writes go to Spark together, so small tables do not queue behind each other.
-PARALLEL_WRITES = 8
-
-
-def snapshot_path(base: str, table: str) -> str:
-    return f"{base.rstrip('/')}/{table}"
-
-
-def latest_path(base: str, table: str) -> str:
-    return f"{base.rstrip('/')}/latest/{table}"
-
-
-def save_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-
-
-def save_snapshot(df: DataFrame, base: str, table: str, run_date: str) -> str:
-    """Replace the run date's partition and leave the other dates alone.
-
-    The partition folder is the target, so a rerun without rows also replaces the old rows; a
-    dynamic partition overwrite would keep them.
-    """
-    if "dt" in df.columns:
-        raise ValueError(f"Table '{table}' already has a column 'dt'")
-    path = f"{snapshot_path(base, table)}/dt={run_date}"
-    save_parquet(df, path)
-    return path
-
-
-def _load_table(df: DataFrame, base: str, table: str, params: JobParams) -> None:
-    if params.write_partitioned:
-        path = save_snapshot(df, base, table, params.run_date)
-        # The copy starts from the files just written, not from the table's whole lineage.
-        df = df.sparkSession.read.schema(df.schema).parquet(path)
-        if table in PUBLISHED_ORDER:
-            df = df.orderBy(*[F.expr(c.split(" ")[0]).desc() if c.endswith("desc") else F.expr(c.split(" ")[0]).asc() for c in PUBLISHED_ORDER[table]])
-    if params.write_latest:
-        save_parquet(df, latest_path(base, table))
-
-
-def run_together(spark, tasks: list) -> None:
-    """Run independent Spark actions from a few threads; the first error is raised."""
-    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
-        for future in futures:
-            future.result()
+from cartloom.sinks.attempts import Attempt
 
 
 def _load(tables: dict[str, DataFrame], base: str, params: JobParams) -> None:
-    if not tables:
+    if not tables or not (params.write_partitioned or params.write_latest):
         return
-    spark = next(iter(tables.values())).sparkSession
-    run_together(
-        spark,
-        [lambda d=df, n=name: _load_table(d, base, n, params) for name, df in tables.items()],
-    )
+    attempt = Attempt(next(iter(tables.values())).sparkSession, base, params)
+    try:
+        attempt.write(tables)
+        attempt.publish()
+    finally:
+        attempt.drop()
 
 
 def load_staging(tables: dict[str, DataFrame], params: JobParams) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from cartloom.sinks.snapshots import latest_path
+from cartloom.sinks.attempts import latest_path
 
 
 def read_latest(spark: SparkSession, base: str, table: str) -> DataFrame:

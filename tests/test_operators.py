@@ -23,6 +23,9 @@ from cartloom.operators import (
     top_values,
     with_row_salt,
 )
+from cartloom.operators import histogram, quantile, row_numbers, summarise
+from cartloom.operators.aggregate import frequent_values
+from cartloom.operators.quantile import BINS
 from cartloom.operators.skew import ROW_SALTS, SALTS
 
 
@@ -264,3 +267,71 @@ def test_other_join_types_are_refused(skewed):
     left, right = skewed
     with pytest.raises(ValueError):
         salted_join(left, right, "k", "full", ["hot"])
+
+
+# Histograms, frequent values, row numbers
+
+
+def test_quantiles_shuffle_bins_and_no_values(spark):
+    """A million different values: what is shuffled and collected is bounded by the bins."""
+    df = spark.range(1_000_000, numPartitions=8).selectExpr("cast(pmod(xxhash64(id), 100000007) as double) / 100 as x")
+    first = histogram(df, ["x"])
+    text = plan(first)
+    assert "hashpartitioning(column" in text and "hashpartitioning(value" not in text and ", value" not in text.split("Exchange")[1].split("\n")[0]
+    assert first.count() < 30_000
+    found = summarise(df, ["x"], [0.5, 0.99])["x"]
+    values = np.array([r.x for r in df.collect()])
+    assert found.quantiles == {p: pytest.approx(np.quantile(values, p), rel=1e-14) for p in (0.5, 0.99)}
+    assert (found.count, found.min, found.max) == (1_000_000, values.min(), values.max())
+    assert found.mean == pytest.approx(values.mean(), rel=1e-12) and found.std == pytest.approx(values.std(ddof=1), rel=1e-9)
+    around = {"x": [(found.quantiles[0.5] - 100, found.quantiles[0.5] + 100)]}
+    assert histogram(df, ["x"], around).count() <= BINS + 1
+
+
+def test_quantiles_of_money_take_two_scans(spark, monkeypatch):
+    scans = []
+    plain = quantile.histogram
+    monkeypatch.setattr(quantile, "histogram", lambda *a, **k: scans.append(a) or plain(*a, **k))
+    summarise(spark.range(100_000).selectExpr("cast(id % 90000 as double) / 100 as x"), ["x"], [0.25, 0.5, 0.75])
+    assert len(scans) == 2
+
+
+def test_summary_of_columns_without_values(spark):
+    df = spark.createDataFrame([(None, 3.0), (float("nan"), None)], "x double, y double")
+    found = summarise(df, ["x", "y"], [0.5])
+    assert found["x"].count == 0 and found["x"].quantiles == {} and found["x"].mean is None
+    assert found["y"].count == 1 and found["y"].std is None and found["y"].quantiles == {0.5: 3.0}
+    assert summarise(df, [], [0.5]) == {}
+
+
+@pytest.fixture(scope="module")
+def wide_column(spark):
+    """300,000 values, of which some are frequent, with ties at the tenth place."""
+    rare = spark.range(300_000).selectExpr("concat('v', id) as v")
+    often = spark.range(60_000).selectExpr("concat('often', id % 12) as v")
+    return rare.unionByName(often).unionByName(spark.sql("select explode(array_repeat('often3', 500)) as v")).repartition(6)
+
+
+def test_top_values_of_a_wide_column(spark, wide_column):
+    assert set(frequent_values(wide_column, "v", 10)) >= {f"often{i}" for i in range(12)}
+    assert len(frequent_values(wide_column, "v", 10)) < 200
+    got = [tuple(r) for r in top_values(wide_column, "v", 10).collect()]
+    assert got == [("often3", 5500), *[(f"often{i}", 5000) for i in (0, 1, 10, 11, 2, 4, 5, 6, 7)]]
+
+
+def test_top_values_without_proof_count_all(spark):
+    """No value stands out, so every one is counted."""
+    flat = spark.range(200_000).selectExpr("concat('v', id % 100000) as v")
+    assert frequent_values(flat, "v", 3) is None
+    assert [tuple(r) for r in top_values(flat, "v", 3).collect()] == [("v0", 2), ("v1", 2), ("v10", 2)]
+    assert top_values(flat.limit(0), "v", 3).collect() == []
+    dates = spark.sql("select explode(sequence(date'2024-01-01', date'2024-03-01')) as d")
+    assert [str(r.d) for r in top_values(dates.unionByName(dates.limit(2)), "d", 2).collect()] == ["2024-01-01", "2024-01-02"]
+
+
+def test_row_numbers_go_on_from_part_to_part(spark):
+    df = spark.createDataFrame([(p, 100 * i + r, f"{p}{r}") for i, (p, n) in enumerate([("a", 3), ("b", 1), ("c", 5)]) for r in range(n)], "p string, r long, v string")
+    numbered = row_numbers(df.repartition(4), "p", "r")
+    assert [r.v for r in numbered.orderBy("row_number").collect()] == ["a0", "a1", "a2", "b0", "c0", "c1", "c2", "c3", "c4"]
+    assert [r.row_number for r in numbered.orderBy("row_number").collect()] == list(range(1, 10))
+    assert numbered.columns == ["p", "r", "v", "row_number"] and row_numbers(df.limit(0), "p", "r").count() == 0

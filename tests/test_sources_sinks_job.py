@@ -2,18 +2,20 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from cartloom.__main__ import main
-from cartloom.operators import INGEST_ORDER
+from cartloom.operators import INGEST_ORDER, ingest_numbers
 from cartloom.params import JobParams
 from cartloom.plans import job, staging
 from cartloom.plans.quality import DataQualityError
-from cartloom.sinks import latest_path, load_staging, load_warehouse, publish
-from cartloom.sinks.snapshots import save_snapshot
+from cartloom.sinks import Attempt, attempts, latest_path, load_staging, load_warehouse, publish
 from cartloom.sources import extract_all, read_csv_table, read_latest
 
 CSV = {
@@ -122,6 +124,25 @@ def test_first_row_wins_over_files(spark, tmp_path):
     assert [r.customer_city for r in staging.clean_customers(raw).collect()] == ["first"]
 
 
+def test_row_numbers_over_files_and_splits(spark, tmp_path):
+    """Row numbers follow the files by name and the rows in them, however they are split."""
+    want = []
+    for name in ("a", "b", "c"):
+        lines = [f"k{i % 50},{name}{i:05d}" for i in range(4000)]
+        (tmp_path / f"{name}.csv").write_text("customer_id,customer_city\n" + "\n".join(lines))
+        want += [line.split(",")[1] for line in lines]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        raw = ingest_numbers(read_csv_table(spark, str(tmp_path), "customers"))
+        assert raw.rdd.getNumPartitions() > 8
+        got = raw.orderBy("row_number").collect()
+        first = staging.clean_customers(raw).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.customer_city for r in got] == want and [r.row_number for r in got] == list(range(1, 12_001))
+    assert sorted(r.row_number for r in first) == list(range(1, 51))
+
+
 def test_snapshots_by_date_and_latest(spark, params):
     def run(date, values):
         table = spark.createDataFrame([(v,) for v in values], "x int")
@@ -153,6 +174,42 @@ def test_only_latest_or_only_dated(spark, params, tmp_path):
         read_latest(spark, params.warehouse_base, "t")
 
 
+def test_a_failed_rename_undoes_all(spark, params, tmp_path, monkeypatch):
+    old = {"a": spark.range(2), "b": spark.range(3)}
+    load_staging(old, params)
+    attempt = Attempt(spark, params.staging_base, params)
+    attempt.write({"a": spark.range(20), "b": spark.range(30), "c": spark.range(40)})
+    assert read_latest(spark, params.staging_base, "a").count() == 2
+    rename = attempt._rename
+
+    def broken(source, target):
+        if "/copy/" in source and target.endswith("latest/b"):
+            raise OSError("no")
+        rename(source, target)
+
+    monkeypatch.setattr(attempt, "_rename", broken)
+    with pytest.raises(OSError):
+        attempt.publish()
+    attempt.drop()
+    assert [read_latest(spark, params.staging_base, t).count() for t in "ab"] == [2, 3]
+    assert [spark.read.parquet(f"{params.staging_base}/{t}").count() for t in "ab"] == [2, 3]
+    assert not (tmp_path / "staging/c").exists() or not list((tmp_path / "staging/c").iterdir())
+    assert not list((tmp_path / "staging").glob("_attempt*"))
+
+
+def test_each_layer_is_written_once(spark, params, monkeypatch):
+    """One write per built table, and one copy of its files for the second place."""
+    paths = []
+    save = attempts.save_parquet
+    monkeypatch.setattr(attempts, "save_parquet", lambda df, path: paths.append(path) or save(df, path))
+    job.run(spark, params)
+    built = [p for p in paths if "/new/" in p]
+    assert len(built) == len(set(built)) == 5 + 6 + 7 and len(paths) == 2 * len(built)
+    paths.clear()
+    job.run(spark, params.with_(write_partitioned=False))
+    assert len(paths) == 18
+
+
 def test_mart_wins_on_a_name_clash(spark, params):
     load_warehouse({"t": spark.range(3)}, {"t": spark.range(5)}, params)
     assert read_latest(spark, params.warehouse_base, "t").count() == 5
@@ -160,7 +217,7 @@ def test_mart_wins_on_a_name_clash(spark, params):
 
 def test_a_column_named_dt_is_refused(spark, params):
     with pytest.raises(ValueError, match="dt"):
-        save_snapshot(spark.sql("select 1 as dt"), params.staging_base, "t", "2024-01-01")
+        load_staging({"t": spark.sql("select 1 as dt")}, params)
 
 
 def test_publish_replaces_tables(spark, params):
@@ -175,6 +232,18 @@ def test_publish_replaces_tables(spark, params):
     spark.sql("drop database shop_out cascade")
 
 
+def test_a_failed_publish_leaves_the_old_tables(spark, params):
+    spark.sql("create database if not exists shop_kept")
+    on = params.with_(publish_enabled=True, publish_database="shop_kept")
+    publish({"a": spark.range(3), "b": spark.range(4)}, on)
+    broken = spark.range(9).selectExpr("if(id = 8, raise_error('broken row'), id) as id")
+    with pytest.raises(Exception, match="broken row"):
+        publish({"a": spark.range(30), "b": broken}, on)
+    assert [spark.table(f"shop_kept.{t}").count() for t in "ab"] == [3, 4]
+    assert {t.name for t in spark.catalog.listTables("shop_kept")} == {"a", "b"}
+    spark.sql("drop database shop_kept cascade")
+
+
 def test_publish_through_a_connector(spark, params, tmp_path):
     on = params.with_(
         publish_enabled=True,
@@ -219,6 +288,51 @@ def test_the_whole_job(spark, params):
     assert len(by_day) == 2 and len(before["fact_orders"]) == 3
 
 
+def test_counts_with_a_task_that_fails_once(params, tmp_path):
+    """A session of its own, which tries tasks again: counts are those of the rows."""
+    code = f"""
+import sys
+sys.path[:0] = ['{Path(__file__).resolve().parent.parent}']
+from pyspark import TaskContext
+from cartloom.params import JobParams
+from cartloom.plans import job
+from cartloom.session import local_session
+from cartloom.sources import extract_all
+spark = local_session("2, 3", **{{"spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": '{tmp_path}/work'}})
+params = JobParams(raw_base='{params.raw_base}', staging_base='{params.staging_base}', warehouse_base='{params.warehouse_base}', run_date='2024-01-01')
+
+def flaky(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError('lost')
+
+raw = extract_all(spark, params)
+raw['payments'] = raw['payments'].mapInArrow(flaky, raw['payments'].schema)
+result = job.run(spark, params, raw)
+print('COUNTS', sorted((r.table, r.step, r.rows) for r in result.metrics.collect() if r.table == 'payments'))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "lost" in done.stderr, done.stderr[-2000:]
+    want = [("payments", "built", 2), ("payments", "dropped_missing", 0), ("payments", "dropped_negative", 1), ("payments", "read", 3), ("payments", "written", 2)]
+    assert f"COUNTS {want}" in done.stdout, done.stderr[-2000:]
+
+
+def test_profiles_of_published_tables(spark, params):
+    job.run(spark, params)
+    found = {(r.table, r.part, r.item, r.measure, r.text): r.value for r in job.profile_published(spark, params).collect()}
+    assert found["fact_orders", "shape", "", "rows", None] == 3 and found["dim_date", "shape", "", "rows", None] == 3
+    assert found["fact_orders", "nulls", "order_purchase_timestamp", "count", None] == 1
+    assert found["fact_orders", "duplicates", "order_id", "count", None] == 0
+    assert found["fact_orders", "frequency", "order_status", "count", "delivered"] == 2
+    assert found["fact_orders", "totals", "total_order_value", "sum", None] == 15.5
+    assert found["dim_date", "range", "date", "max", "2023-05-17"] is None
+    report = job.check_published(spark, params)
+    for r in report.profiles["fact_orders.describe"].collect():
+        for m in ("count", "mean", "std", "min", "q25", "q50", "q75", "max"):
+            assert found["fact_orders", "describe", r.column, m, None] == (pytest.approx(r[m]) if r[m] is not None else None)
+
+
 def test_a_failed_validation_writes_nothing(spark, params, tmp_path):
     _rewrite(params, "orders", "order_id,customer_id,order_status\n1,c1,lost\n,c1,delivered\n")
     with pytest.raises(DataQualityError, match="lost"):
