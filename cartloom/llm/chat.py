@@ -133,6 +133,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.expr(f"transform({pieces}, p -> struct({_unescape(role)} as role, {_unescape(text)} as text))"))
 
 
-def loss_text(turns: str):
-    """All text under the loss mask, from parsed turns."""
-    return F.expr(f"array_join(transform(filter({turns}, t -> t.role = '{LOSS_ROLE}'), t -> t.text), '')")
+def loss_text(formatted: str = "formatted", spans: str = "loss_spans"):
+    """All text under the loss mask: the spans cut out of the rendered string, unescaped."""
+    cut = f"substring({formatted}, cast(s.start as int) + 1, cast(s.length as int))"
+    return F.expr(f"array_join(transform({spans}, s -> {_unescape(cut)}), '')")

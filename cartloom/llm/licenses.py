@@ -140,7 +140,7 @@ def count_phrases(texts: DataFrame, phrases: dict[str, str]) -> DataFrame:
     found = spaced.withColumn("n_base", F.expr(f"regexp_count(spaced, '{any_phrase}')").cast("long"))
     # The words before a place are the spaces before it, less the one in front.
     before = "length({0}) - length(replace({0}, ' ', '')) - 1"
-    first = f"substring(spaced, 1, regexp_instr(spaced, '{any_phrase}') - 1)"
+    first = f"regexp_extract(spaced, '(?s)^(.*?){any_phrase}', 1)"
     last = f"regexp_extract(spaced, '(?s)^(.*){any_phrase}', 1)"
     hits = ", ".join(f"case when spaced rlike '(?i) {p} ' then '{label}' end" for p, label in phrases.items())
     return found.select(
@@ -168,7 +168,7 @@ def word_counts(texts: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 def block_hits(texts: DataFrame, vocabulary: list[str], span: int) -> DataFrame:
     """Blocks of words that hold template words: their number of distinct words and those template
-    words. Each stretch of ``span`` words of a text lies whole in one of its blocks."""
+    words, in the order of the vocabulary. Each stretch of ``span`` words of a text lies whole in one of its blocks."""
     step = max(4 * span, BLOCK_WORDS)
     # A line feed after each ``step`` words; texts have none left. The rest matches too, so no place is tried twice.
     cut = f"regexp_replace(ltrim({_spaced(_lower('txt'))}), '((?:[^ ]++ ){{1,{step}}}+)', '$1\n')"
@@ -183,7 +183,7 @@ def block_hits(texts: DataFrame, vocabulary: list[str], span: int) -> DataFrame:
         "block",
         "body",
         F.size("words").alias("size"),
-        F.expr(f"explode(array(array_intersect(words, {literal_strings(vocabulary)})))").alias("hits"),
+        F.expr(f"explode(array(array_intersect({literal_strings(vocabulary)}, words)))").alias("hits"),
     )
 
 
@@ -204,7 +204,9 @@ def similar_blocks(hits: DataFrame, templates: list[Template], count: dict[str,
     index = spark.sql("select * from values " + ", ".join(rows) + " as t(label, word, place, total, need, span, prefix, ranked)")
     postings = hits.select("id", "key", "block", "body", "size", "hits", F.explode(F.expr(f"array_intersect(hits, {literal_strings(sorted(first))})")).alias("word"))
     joined = postings.join(F.broadcast(index), "word").where(
-        "size >= need and size(hits) >= need and total - place >= need "
+        "size >= need and size(hits) >= need "
+        # What template and block can still share from this word on, both in the global order.
+        "and least(total - place, size(hits) - array_position(hits, word) + 1) >= need "
         # Once per block and template: at the first prefix word they share.
         "and element_at(array_intersect(prefix, hits), 1) = word "
         "and size(array_intersect(ranked, hits)) >= need"
@@ -233,8 +235,9 @@ def scan_licenses(
     vocabulary = sorted({w for t in known for w in t.words})
     texts = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("txt"))
     texts = texts.withColumn("key", F.xxhash64("txt"))
-    hits = block_hits(texts, vocabulary, max(t.span for t in known))
-    found = Scratch(docs.sparkSession, "licenses").keep(similar_blocks(hits, known, word_counts(texts, vocabulary)))
+    count = word_counts(texts, vocabulary)
+    hits = block_hits(texts, sorted(vocabulary, key=lambda w: (count.get(w, 0), w)), max(t.span for t in known))
+    found = Scratch(docs.sparkSession, "licenses").keep(similar_blocks(hits, known, count))
     by_doc = found.groupBy(F.col("id").alias("of_id"), F.col("key").alias("of_key")).agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.llm.tables import bounded_sample
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -400,15 +402,13 @@ def find_spans(texts: list[str], model: Tagger, width: int = 96, reach: int = 40
 
 
 def trained_on(docs: DataFrame, text_column: str, id_column: str, sample_rows: int, sample_chars: int) -> Tagger:
-    """A model fitted on the rows of the smallest hash, at most ``sample_chars`` of each."""
-    rows = (
-        docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("txt"))
-        .where("txt is not null")
-        .select(F.xxhash64("id").alias("h"), F.substring("txt", 1, sample_chars).alias("txt"))
-        .orderBy("h", "txt")
-        .limit(sample_rows)
-    )
-    return train_tagger([r["txt"] for r in rows.collect()])
+    """A model fitted on a bounded sample of the texts, at most ``sample_chars`` of each.
+
+    Rows are chosen by a hash of their id before any text leaves a task.
+    """
+    known = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("txt")).where("txt is not null")
+    chosen = bounded_sample(known, sample_rows, "id").select(F.xxhash64("id").alias("h"), F.substring("txt", 1, sample_chars).alias("txt"))
+    return train_tagger([txt for _, txt in sorted((r["h"], r["txt"]) for r in chosen.collect())])
 
 
 def _joined(spans: list[Span]) -> str:

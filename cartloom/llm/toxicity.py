@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.tables import Scratch
+from cartloom.llm.tables import Scratch, bounded_sample
 
 WORD = re.compile(r"[^\W\d_]+")
 BITS = 18
@@ -111,15 +111,13 @@ def train(
     known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("id"), (F.col(label_column) > 0).cast("int").alias("toxic")
     )
-    # The sample is the rows of the smallest hash, up to a third of them toxic ones.
-    parts = [
-        known.where(f"toxic = {t}").orderBy(F.xxhash64("id"), "id").limit(n)
-        for t, n in ((1, sample_rows // 3), (0, sample_rows - sample_rows // 3))
-    ]
+    # A bounded sample, up to a third of it toxic rows; of equal ids one text.
+    parts = [bounded_sample(known.where(f"toxic = {t}"), n, "id") for t, n in ((1, sample_rows // 3), (0, sample_rows - sample_rows // 3))]
     sample = parts[0].unionByName(parts[1]).groupBy("id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("txt")).where("txt is not null")
     scratch = Scratch(docs.sparkSession, "toxicity")
-    held = scratch.keep(texts.join(F.broadcast(sample), "id").select("toxic", "txt"))
+    labelled = texts.join(F.broadcast(sample), "id")
+    held = scratch.keep(labelled.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("txt").alias("txt")).select("toxic", "txt"))
     n = {r["toxic"]: r["count"] for r in held.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return None
@@ -157,7 +155,9 @@ def grade_toxicity(
     """(id, severity, grade, p_toxic, rejected) per document row, and the whole row as ``row`` if asked.
 
     ``severity`` is the expected grade, ``grade`` the most likely one; a text is rejected if its
-    probability of any toxicity is at least ``reject_at``.
+    probability of any toxicity is at least ``reject_at``. The model is fitted on at most
+    ``sample_rows`` labelled texts and keeps ``n_features`` of their features; whole texts are read,
+    also very long ones.
     """
     model = train(docs, labels, id_column, text_column, label_column, sample_rows, n_features)
     table = model.table() if model else {}

@@ -141,10 +141,25 @@ def test_quality_counts(spark, edges):
         assert got == want
 
 
+def test_the_positional_filter_drops_candidates_and_no_find(spark):
+    """A block whose words from the first shared one on are too few is no candidate, whatever it holds before."""
+    templates = [licenses.Template("a", tuple(f"a{i}" for i in range(30)), 24, 40), licenses.Template("b", tuple(f"b{i}" for i in range(30)), 24, 40)]
+    count = {f"a{i}": i for i in range(30)} | {f"b{i}": 100 + i for i in range(30)}
+    bodies = {1: [f"a{i}" for i in range(23)] + [f"b{i}" for i in range(4)], 2: [f"b{i}" for i in range(24)], 3: [f"a{i}" for i in range(5, 30)] + ["b1"]}
+    rows = [(k, 0, 0, " ".join(w), len(w), sorted(w, key=lambda x: (count[x], x))) for k, w in bodies.items()]
+    hits = spark.createDataFrame(rows, "id long, key long, block int, body string, size int, hits array<string>")
+    found = {(r.id, r.label): r.containment for r in licenses.similar_blocks(hits, templates, count).collect()}
+    assert found == {(2, "b"): 24 / 30, (3, "a"): 25 / 30}
+    # Block 1 holds 27 words, enough by length, but only 4 from the first word of b on.
+    assert len(bodies[1]) >= 24 and "array_position" in licenses.similar_blocks(hits, templates, count)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_license_phrases_and_blocks(spark, edges):
     separators = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     notice = licenses.TEMPLATES["mit"].replace("hereby", "HEREBY")
     rows = [(1, "Mit License, MIT LICENSE cc-by"), (2, "x\n" + notice + "\ny"), (3, "gnu general\npublic license"), (4, "cc byte"), (5, "Under CC BY-NC 4.0."), (6, "of the Software and to copy")]
+    # Characters beyond U+FFFF are words of one code point each.
+    rows += [(7, "\U0001f600 " * 12 + "mit license x"), (8, "\U0001f600 " * 30 + "see the apache license, \U0001f600 Mit License \U0001f600")]
     for df, given in ((docs(spark, rows), rows), (edges, EDGES)):
         for x in licenses.scan_licenses(df).collect():
             text = next(t for i, t in given if i == x.doc_id and (i is not None or True) and len(separators.findall((t or "").translate(LOW))) == x.n_words)
@@ -206,7 +221,7 @@ def test_chat_round_trip(spark):
     rows += [rows[-1], rows[-1]]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
     formatted = chat.format_chats(chat.messages_as_events(df, piece=7))
-    back = chat.read_back(formatted).withColumn("loss", chat.loss_text("turns"))
+    back = chat.read_back(formatted).withColumn("loss", chat.loss_text())
     for x in back.collect():
         want = sorted((t, role or "", text or "") for c, t, role, text in rows if c == x.conv_id)
         assert [(m.role, m.text) for m in x.turns] == [(role, text) for _, role, text in want]
@@ -215,6 +230,15 @@ def test_chat_round_trip(spark):
         assert [b.replace("<\\p", "<|").replace("\\\\", "\\") for b in bodies] == [t for _, role, t in want if role == "assistant"]
 
 
+def test_loss_comes_from_the_mask(spark):
+    """The text under shifted spans is another one: it is cut out of the rendered string."""
+    rows = [(1, 0, "user", "ask"), (1, 1, "assistant", "a <|im_end|> \\ \U0001f600 b")]
+    formatted = chat.format_chats(chat.messages_as_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert formatted.select(chat.loss_text()).first()[0] == rows[1][3]
+    moved = formatted.withColumn("loss_spans", F.expr("transform(loss_spans, s -> struct(s.start as start, 3L as length))"))
+    assert moved.select(chat.loss_text()).first()[0] == "a <"
+
+
 def test_chat_of_no_events(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_chats(chat.messages_as_events(empty)).count() == 0
@@ -336,6 +360,52 @@ def test_mixing_meets_targets(spark, edges):
     assert len(none) == len(EDGES)
 
 
+def dense_rates(tokens, p, wanted, most, rounds=200_000):
+    """Plain projected gradient over all cells, with the same pull to rate 1."""
+    present = np.maximum(tokens @ p, 1)
+    rate = np.ones(len(tokens))
+    for _ in range(rounds):
+        miss = (tokens * rate) @ p - wanted
+        rate = np.clip(rate - 0.9 * (p @ (miss / present) + mixing.PULL * (rate - 1)), 0, most or np.inf)
+    return rate
+
+
+@pytest.mark.parametrize("most", [None, 1.0, 2.5])
+def test_fitted_rates_equal_dense_projected_gradient(spark, most):
+    generator = np.random.default_rng(3)
+    tokens, p = generator.integers(1, 4000, 30), generator.dirichlet([0.15, 0.1, 0.2], 30)
+    wanted = np.array([0.5, 1.3, 0.8]) * (tokens @ p)
+    cells = spark.createDataFrame([(str(i), int(t), [float(x) for x in row]) for i, (t, row) in enumerate(zip(tokens, p))], "bins string, tokens long, p array<double>")
+    targets = mixing.Targets(factors=dict(zip("abc", (0.5, 1.3, 0.8))))
+    fitted, miss = mixing.fit_rates(cells, list("abc"), targets, most, 40)
+    got = np.array([r.rate for r in fitted.orderBy(F.expr("cast(bins as int)")).collect()])
+    want = dense_rates(tokens.astype(float), p, wanted, most)
+
+    def loss(rate):
+        return (((tokens * rate) @ p - wanted) ** 2 / (2 * (tokens @ p))).sum() + mixing.PULL / 2 * (tokens * (rate - 1) ** 2).sum()
+
+    assert loss(got) <= loss(want) * (1 + 1e-3) + 1e-9
+    assert np.allclose([miss[d] for d in "abc"], ((tokens * got) @ p - wanted) / wanted, atol=1e-9)
+    if most is None:
+        assert max(abs(x) for x in miss.values()) < 1e-3
+
+
+def test_targets_by_text_are_reached(spark):
+    cells = spark.createDataFrame([("0", 900, [0.98, 0.02]), ("1", 100, [0.1, 0.9]), ("2", 50, [0.45, 0.55])], "bins string, tokens long, p array<double>")
+    fitted, miss = mixing.fit_rates(cells, ["a", "junk"], mixing.Targets(factors={"junk": 0.25}, by_text=True), 1.0, 40)
+    assert max(abs(x) for x in miss.values()) < 1e-3
+    assert fitted.where("bins = '0'").first().rate > 0.99
+
+
+def test_mixing_with_clashing_names(spark):
+    rows = [(i, "word " * 30, "en", 1, 2, "b") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int, id int, bins string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    got = mixing.mix_sources(df, labels, mixing.Targets(), domain="concat(lang, bins, id, quality)").collect()
+    assert len(got) == 40 and {r.domain for r in got} <= {"enb20", "enb21"}
+    assert mixing.mix_sources(df.limit(0), labels, mixing.Targets()).count() == 0
+
+
 def test_mixing_meets_the_targets_of_small_domains(spark):
     r, rows = random.Random(16), []
     looks = {"en": str, "de": lambda w: w.replace("a", "ß"), "fr": lambda w: w.replace("a", "è"), "es": lambda w: w.upper().replace(" ", "!! ")}
