@@ -35,13 +35,14 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, folder: str) -> Da
     return found.select(*[changed.get(c, F.col(f"row.`{c}`")).cast(t).alias(c) for c, t in docs.dtypes])
 
 
-#: Junk domains go down to a quarter of their tokens, all others keep theirs.
-FACTORS = {f"{lang}-junk": 0.25 for lang in ("en", "de", "fr", "es")} | {lang: 1.2 for lang in ("en", "de", "fr", "es")}
+#: Texts of junk domains go down to a quarter of their tokens, all others keep theirs.
+FACTORS = {f"{lang}-junk": 0.25 for lang in ("en", "de", "fr", "es")}
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents drawn at their rates, which are at most 1: none is repeated."""
-    mixed = mixing.mix_sources(docs, read_table(spark, folder, "labels"), mixing.Targets(factors=FACTORS), most=1.0, with_rows=True)
+    targets = mixing.Targets(factors=FACTORS, by_text=True)
+    mixed = mixing.mix_sources(docs, read_table(spark, folder, "labels"), targets, most=1.0, with_rows=True)
     return mixed.where("copies > 0").select("row.*")
 
 
