@@ -39,6 +39,7 @@ class OutputView:
     top: int | None = None
 
 
+# The columns that the published tables are profiled by.
 OUTPUT_VIEWS = {
     "fact_orders": OutputView(
         keys=("order_id",),

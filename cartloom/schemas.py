@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Only the columns the builders name. Any other column passes through as a string.
+# Only the columns the builders name. Any other column passes through as a string.
 RAW_CONTRACTS: dict[str, dict[str, str]] = {
     "orders": {
         "order_id": "string",
@@ -66,6 +66,7 @@ NA_TOKENS = (
     "null",
 )
 
+# Column names of timestamps, measures and marts.
 ORDER_TIMESTAMPS = (
     "order_purchase_timestamp",
     "order_approved_at",
