@@ -58,6 +58,32 @@ def test_topk_matches_brute_force(spark):
     assert {q: sorted(x) for q, x in got.items()} == want
 
 
+@pytest.mark.parametrize("segments", [1, 2, 4, 9])
+def test_topk_threshold_saves_products_and_no_entry(segments):
+    r = np.random.default_rng(2)
+    right = np.floor(256 * r.normal(0, 0.12, (400, 16)) * r.choice([0.1, 1, 3], (400, 1)))
+    right[5] = 0
+    left = right[::20] + np.floor(r.normal(0, 5, (20, 16)))
+    own = np.arange(20)[:, None] * 20 == np.arange(400)[None, :]
+    total = np.where(own, topk.NONE, left @ right.T).astype(np.int64)
+    taken = []
+    for place in (None, 200, 20, 5):  # a cutoff that spares nothing, then higher ones
+        least = np.full(20, topk.NONE + 1) if place is None else np.sort(total, axis=1)[:, -place]
+        q, row, score, products = topk.resolve(left, right, own, least, segments)
+        assert sorted(zip(q, row, score, strict=True)) == [(a, b, total[a, b]) for a, b in zip(*np.nonzero(total >= least[:, None]), strict=True)]
+        taken.append(products)
+    assert taken[0] == 20 * 400 * 16 and taken[-1] < taken[-2] < taken[0] if segments > 1 else taken[-1] <= taken[0]
+    listed = topk.listed_sums(left, right, own, segments, 10)
+    assert (np.sort(listed, axis=1)[:, -5] <= np.sort(total, axis=1)[:, -5]).all()
+
+
+def test_topk_columns_with_names_used_inside(spark):
+    rows = [(i, [float(i % 7), 1.0], 5, "v", True) for i in range(101)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id int, vector string, asks boolean")
+    got = topk.exact_topk(df, F.expr("vec_id % 50 = 0"))
+    assert got.columns == ["query_id", "rank", "vec_id", "score"] and got.count() == 15
+
+
 def test_topk_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_topk(empty, F.expr("vec_id % 50 = 0")).count() == 0
