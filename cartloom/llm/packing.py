@@ -3,7 +3,9 @@
 A sequence has three limits at once: tokens, segments and loss-bearing tokens. Pieces go to the
 open sequence with the greatest dot product of what the piece needs and what the sequence has
 left (both as shares of the limits). When no open sequence can take a piece, the fullest one is
-topped up with the head of that piece and closed, so sequences close full. At the end of a
+topped up with the head of that piece and closed, so sequences close full. A sequence that has
+reached its loss limit with tokens left waits for the loss-free head of a later piece, and a
+document longer than a sequence fills that rest with its own. At the end of a
 partition the open ones are poured together, and the last tokens are cut into sequences whose
 lengths are powers of two, which need no padding.
 
@@ -137,9 +139,14 @@ class Piece:
     def length(self) -> int:
         return len(self.ids) // 4
 
+    @property
+    def free(self) -> int:
+        """Tokens at its head that bear no loss."""
+        return min(self.length, max(0, self.prompt - self.start))
+
     @property
     def loss(self) -> int:
-        return self.length - min(self.length, max(0, self.prompt - self.start))
+        return self.length - self.free
 
     def cut(self, n: int) -> tuple[Piece, Piece]:
         head = Piece(self.doc_id, self.start, self.ids[: 4 * n], self.doc_tokens, self.prompt)
@@ -147,8 +154,7 @@ class Piece:
 
     def most(self, tokens: int, loss: int) -> int:
         """Tokens of the head that fit."""
-        free = min(self.length, max(0, self.prompt - self.start))
-        return min(tokens, self.length, free + loss)
+        return min(tokens, self.length, self.free + loss)
 
 
 @dataclass
@@ -168,6 +174,18 @@ class Packer:
         self.bins: list[list[Piece] | None] = [None] * self.open_bins
 
     def add(self, piece: Piece) -> None:
+        tokens, loss = self.limits.tokens, self.limits.loss
+        rest = tokens - loss
+        if 0 < rest <= piece.free and piece.loss > loss and self.limits.segments > 1:
+            free, piece = piece.cut(piece.free)
+            while rest <= free.length and loss <= piece.length:
+                head, free = free.cut(rest)
+                body, piece = piece.cut(loss)
+                self.closed.append([head, body])
+            self._add(free)
+        self._add(piece)
+
+    def _add(self, piece: Piece) -> None:
         while piece.length:
             if piece.length > self.cap[0] or piece.loss > self.cap[2]:
                 head, piece = piece.cut(piece.most(int(self.cap[0]), int(self.cap[2])))
@@ -178,6 +196,18 @@ class Packer:
 
     def _place(self, piece: Piece) -> None:
         while True:
+            waiting = np.flatnonzero((self.left[:, 0] > 0) & (self.left[:, 1] >= 1) & (self.left[:, 2] == 0)) if piece.free else ()
+            if len(waiting):
+                at = int(waiting[np.argmin(self.left[waiting, 0])])
+                n = min(piece.free, int(self.left[at, 0]))
+                head, piece = piece.cut(n)
+                self.bins[at].append(head)
+                self.left[at] -= [n, 1, 0]
+                if self.left[at, 0] == 0:
+                    self._close(at)
+                if not piece.length:
+                    return
+                continue
             need = np.array([piece.length, 1, piece.loss], float)
             if need[0] == self.cap[0]:
                 self.closed.append([piece])
@@ -189,8 +219,10 @@ class Packer:
                 at = self.bins.index(None)
                 self.bins[at], self.left[at] = [], self.cap
             else:
-                at = int(np.argmin(self.left[:, 0]))
-                n = piece.most(int(self.left[at, 0]), int(self.left[at, 2])) if self.left[at, 1] >= 1 else 0
+                most = np.minimum(np.minimum(self.left[:, 0], piece.length), piece.free + self.left[:, 2]) * (self.left[:, 1] >= 1)
+                # The least padding, then the fewest tokens left.
+                at = int(np.lexsort((self.left[:, 0], self.left[:, 0] - most))[0])
+                n = int(most[at])
                 if n:
                     head, piece = piece.cut(n)
                     self.bins[at].append(head)
@@ -214,13 +246,14 @@ class Packer:
         while pieces:
             room = int(self.cap[0]) if rest >= self.cap[0] else 1 << (rest.bit_length() - 1)
             loss, bin_ = int(self.cap[2]), []
-            while pieces and room and len(bin_) < self.limits.segments:
-                n = pieces[0].most(room, loss)
-                if not n:
+            while room and len(bin_) < self.limits.segments:
+                i = next((i for i, p in enumerate(pieces) if p.most(room, loss)), None)
+                if i is None:
                     break
-                head, tail = pieces[0].cut(n)
+                n = pieces[i].most(room, loss)
+                head, tail = pieces[i].cut(n)
                 bin_.append(head)
-                pieces[:1] = [tail] if tail.length else []
+                pieces[i : i + 1] = [tail] if tail.length else []
                 room, loss, rest = room - n, loss - head.loss, rest - n
             self.closed.append(bin_)
 

@@ -13,6 +13,9 @@ TARGETS = mixing.Targets(
     weights={"en": 0.48, "de": 0.15, "fr": 0.15, "es": 0.15, "en-junk": 0.025, "de-junk": 0.015, "fr-junk": 0.015, "es-junk": 0.015}
 )
 
+#: A sequence of 2048 tokens holds at most this many that bear loss; a quarter of each document is its prompt.
+LOSS_TOKENS = 1920
+
 
 def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.exact_topk(read_table(spark, folder, "embeddings"), F.expr("vec_id % 50 = 0"))
@@ -69,7 +72,8 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(read_table(spark, folder, "documents")).drop("loss_tokens")
+    limits = packing.Limits(tokens=2048, segments=64, loss=LOSS_TOKENS)
+    return packing.pack_documents(read_table(spark, folder, "documents"), limits=limits, prompt_share=0.25)
 
 
 def op11_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,7 +112,53 @@ QUERIES = {
     for f in (op1_topk, op2_pii, op3_quality, op4_licenses, op5_chat, op6_shards, op7_minhash, op8_toxicity, op9_mixing, op10_packing, op11_language, op12_search, op13_repair, pipeline)
 }
 
+#: Words, and texts in which only A-Z are lower-cased, in SQL.
+SQL_WORD = r"[^\x20\x09-\x0D]+"
+SQL_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE = {
+    "op3_quality": rf"""
+with t as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+), w as (
+  select *, regexp_extract_all(text, '{SQL_WORD}') as words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{SQL_WORD}')) as lines from t
+), windows as (
+  select r, unnest(list_transform(range(1, len(words) - 3), lambda i: {{'i': i, 'five': words[i:i + 4]}}), recursive := true) from w where len(words) > 4
+), again as (
+  select r, i from (select r, i, count(*) over (partition by r, five) as n from windows) where n > 1
+), covered as (
+  select r, sum(least(5, coalesce(next - i, 5))) as n from (select r, i, lead(i) over (partition by r order by i) as next from again) group by r
+), m as (
+  select doc_id, len(words) as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) as word_chars,
+    length(regexp_replace(text, '[^{quality.SYMBOLS}]+', '', 'g')) as n_symbols, len(lines) as n_lines,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
+    len(list_filter(words, lambda x: lower(x) in ({", ".join(f"'{x}'" for x in quality.STOP_WORDS)}))) as n_stop_words
+  from w left join covered using (r)
+), b as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from m)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+  cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+  not base_failed and word_chars between 2 * n_words and 16 * n_words and n_symbols / n_words <= 0.1
+    and coalesce(n_dup_lines / nullif(n_lines, 0) <= 0.5, true) and n_stop_words / n_words >= 0.02 as kept
+from b
+""",
+    "op7_minhash": rf"""
+with recursive t as (
+  select row_number() over () as r, doc_id, regexp_extract_all({SQL_LOWER}, '{SQL_WORD}') as words from documents
+), s as (
+  select distinct r, case when len(words) < 5 then words else unnest(list_transform(range(1, len(words) - 3), lambda i: words[i:i + 4])) end as shingle
+  from t where len(words) > 4
+  union all select r, words from t where len(words) between 1 and 4
+), sized as (select t.r, t.doc_id, coalesce(n, 0) as n from t left join (select r, count(*) as n from s group by r) using (r)
+), common as (
+  select a.r as a, b.r as b, count(*) as shared from s a join s b on a.shingle = b.shingle and a.r < b.r group by all
+), links as (
+  select a, b from common join sized x on x.r = a join sized y on y.r = b where 100 * shared >= 75 * (x.n + y.n - shared)
+), edges as (select a, b from links union all select b, a from links
+), reach as (select r as a, r as b from t union select reach.a, edges.b from reach join edges on edges.a = reach.b
+), least as (select a as r, min(doc_id) as component_id from reach join t on t.r = reach.b group by a)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from sized join least using (r)
+""",
     "op1_topk": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as c from embeddings

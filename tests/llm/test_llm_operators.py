@@ -154,7 +154,7 @@ def test_quality_counts(spark, edges):
     r = random.Random(5)
     rows = [(i, "\n".join(r.choice(["aa bb cc dd ee ff", "the of #1 |x|", "", " \t", words(r, 9)]) for _ in range(r.randint(1, 9)))) for i in range(200)]
     for df, given in ((docs(spark, rows), rows), (edges, EDGES)):
-        got = Counter(tuple(x)[:7] for x in quality.judge_quality(df).collect())
+        got = Counter(tuple(x)[:8] for x in quality.judge_quality(df).collect())
         want = Counter()
         for i, text in given:
             t = text or ""
@@ -163,7 +163,10 @@ def test_quality_counts(spark, edges):
             repeated = {j for k in range(len(w) - 4) if counts[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
             lines = [x for x in t.split("\n") if WORD.search(x)]
             failed = len(w) < 10 or 100 * len(repeated) > 20 * len(w)
-            want[(i, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeated), failed)] += 1
+            chars, symbols, same = sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines))
+            stops = sum(x.lower() in quality.STOP_WORDS for x in w)
+            kept = not failed and 2 <= chars / len(w) <= 16 and symbols / len(w) <= 0.1 and same / len(lines) <= 0.5 and stops / len(w) >= 0.02
+            want[(i, len(w), chars, symbols, same, len(repeated), failed, kept)] += 1
         assert got == want
 
 
@@ -480,6 +483,29 @@ def test_packing_round_trip(spark, edges):
             assert at == len(ids) // 4
 
 
+def test_a_loss_limit_binds_with_little_padding():
+    r, limits = random.Random(14), packing.Limits(256, 16, 224)
+    packer, sizes = packing.Packer(limits, open_bins=8), [r.choice([r.randint(1, 60), r.randint(60, 400), 5000]) for _ in range(600)]
+    for i, n in enumerate(sizes):
+        packer.add(packing.Piece(i, 0, memoryview(bytes(4 * n)), n, n // 4))
+    packer.finish()
+    seen = {i: [] for i in range(600)}
+    for s in packer.closed:
+        assert sum(p.length for p in s) <= 256 and len(s) <= 16 and sum(p.loss for p in s) <= 224
+        for p in s:
+            seen[p.doc_id].append((p.start, p.length))
+    for i, n in enumerate(sizes):  # each id in one piece
+        at = 0
+        for start, length in sorted(seen[i]):
+            assert start == at and length > 0
+            at += length
+        assert at == n
+    assert sum(sum(p.loss for p in s) == 224 for s in packer.closed) > len(packer.closed) / 10
+    full = [sum(p.length for p in s) for s in packer.closed]
+    padded = sum(256 - n for n in full if n & (n - 1))
+    assert padded < 0.005 * sum(sizes)
+
+
 def test_packer_keeps_all_limits():
     r = random.Random(12)
     limits = packing.Limits(100, 4, 60)
