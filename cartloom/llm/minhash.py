@@ -13,7 +13,8 @@ of the links it finds: no pairs are emitted and no group grows without bound. Wi
 a link at a similarity of exactly 0.75 shares a table key with probability 0.99998; verification
 of whole clusters finds even more.
 
-Copies of one set are a class and take part once. Edge cases: a text without words has an empty
+Copies of one set are a class and take part once. Classes, clusters and components that hold more
+than a thousandth of the rows are found by a sketch and dealt over many tasks in the joins. Edge cases: a text without words has an empty
 set, which links with nothing; fewer words than a shingle form one shingle; repeated rows belong
 to one class; a null id counts as larger than any other.
 """
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from cartloom.llm.components import connected_components
 from cartloom.llm.tables import Scratch
+from cartloom.operators.skew import hot_keys, salted_join, with_row_salt
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -239,6 +241,11 @@ def _verify(percent: int):
     return run
 
 
+def _spread_join(rows: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """A join of a scanned table in which the rows of a hot key, null included, go to many tasks."""
+    return salted_join(with_row_salt(rows), right, key, how, hot_keys(rows, [key])[key])
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -283,14 +290,13 @@ def near_duplicates(
     clusters = connected_components(ties, scratch)
 
     # Chunks of each cluster, and every pair of chunks.
-    members = clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")).join(reps, "class")
-    weights = members.groupBy("cluster").agg(
+    clusters = clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster"))
+    weights = clusters.join(reps, "class").groupBy("cluster").agg(
         F.expr(f"cast(ceil(greatest(count(*) / {chunk_sets}, sum(n) / {chunk_shingles})) as int)").alias("chunks")
     )
+    members = _spread_join(clusters, weights, "cluster", "inner").join(reps, "class")
     members = scratch.keep(
-        members.join(weights, "cluster").select(
-            "class", "rep", "cluster", "chunks", F.expr("cast(pmod(xxhash64(class), chunks) as int)").alias("chunk")
-        )
+        members.select("class", "rep", "cluster", "chunks", F.expr("cast(pmod(xxhash64(class), chunks) as int)").alias("chunk"))
     )
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     again = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("txt")
@@ -303,12 +309,11 @@ def near_duplicates(
     linked = connected_components(links, scratch)
 
     # The smallest id of each component, back to all rows by class.
-    rooted = reps.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", "rep", F.coalesce("root", "class").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = rooted.join(smallest, "root").select("class", "component_id")
-    return plain.join(by_class, "class", "left").select(
+    linked = linked.withColumnRenamed("node", "class")
+    smallest = linked.join(reps, "class").groupBy("root").agg(F.min("rep").alias("component_id"))
+    found = _spread_join(linked, smallest, "root", "inner").select("class", "component_id")
+    by_class = reps.join(found, "class", "left").select("class", F.coalesce("component_id", "rep").alias("component_id"))
+    return _spread_join(plain, by_class, "class", "left").select(
         F.col("doc_id").alias(id_column),
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -338,6 +338,16 @@ def test_near_duplicate_edges(spark, edges):
     del key
 
 
+def test_near_duplicates_with_hot_classes_and_one_large_component(spark):
+    r = random.Random(15)
+    base = words(r, 60)
+    near = [base + " " + words(r, 3) for _ in range(300)]
+    rows = [(i, base if i % 3 == 0 else ("" if i % 7 else None) if i % 3 == 1 else near[i % 300]) for i in range(1500)]
+    rows += [(1500 + i, words(r, 30)) for i in range(50)]
+    got = minhash.near_duplicates(docs(spark, rows), chunk_sets=40).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(classes_by_force(rows))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 5000), (6000, 6001), (6001, 6000)]
     df = spark.createDataFrame(edges, "a long, b long")
