@@ -3,16 +3,24 @@
 The patterns give the base spans of each kind. The model is a character-level bidirectional LSTM
 with a CRF on top, trained in numpy on labelled spans: windows around base spans of a bounded
 sample of texts, and made-up spans of every kind set into texts of that sample, alone and several
-in a row. A pattern that swallows its neighbour fails; the model tells the two apart.
-
-Every span holds a digit or ``@``, so the model reads the text within ``reach`` characters of
-one, in overlapping windows: the number of windows grows with such text, without a cap. Each
-window is decoded by Viterbi; the spans of all windows of a text are then reconciled globally, as
-the set without overlaps that has the highest total margin over no span. What remains must pass
-the same exact checks as base spans (digits, Luhn, parts) and not touch a base span.
-
-Edge cases: a null text is empty and has no spans; repeated rows are searched one by one; an
-empty sample still trains on made-up spans. Offsets count code points, ends are exclusive.
+in a row. A pattern that swallows its neighbour fails; the model tells the two apart. Half of the
+made-up spans are in spellings that no pattern knows: ``ann [at] host [dot] org``, ``10[.]0[.]0[.]1``,
+card groups with other gaps, phones without a plus such as ``(269) 555-3296``. Numbers of other
+kinds (dates, book numbers, sums, references) are set in without a label.
+
+Every span holds a digit, ``@`` or a bracketed "at", so the model reads the text within ``reach``
+characters of one, in overlapping windows: the number of windows grows with such text, without a
+cap. Each window is decoded by Viterbi; the spans of all windows of a text are then reconciled
+globally, as the set without overlaps that has the highest total margin over no span. What remains
+must not touch a base span, and either pass the exact checks of base spans (digits, Luhn, parts) or
+have a margin of ``LOOSE_MARGIN`` and pass a looser check of its kind: the number of digits and
+groups, Luhn, or the address after brackets and words are read as signs. Addresses
+spelled in words alone ("ann at host dot org") are left.
+
+Edge cases: a null text is empty and has no spans; an empty table gives no rows; texts of any
+length are read whole, window by window; repeated rows are searched one by one; an empty sample
+still trains on made-up spans; further columns of any name are kept in ``row`` only. Offsets count
+code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -37,7 +45,7 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+\Z")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ANCHOR = re.compile(r"[0-9@]")
+_ANCHOR = re.compile(r"[0-9@]|[\[({<] ?at ?[\])}>]", re.IGNORECASE)
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -65,6 +73,30 @@ def valid(kind: int, found: str) -> bool:
     return 9 <= len(digits) <= 15 and _PHONE.fullmatch(found) is not None
 
 
+# Looser checks, for spans of the model only.
+_SPELLED_AT = re.compile(r" ?[\[({<] ?(?:at|@) ?[\])}>] ?", re.IGNORECASE)
+_SPELLED_DOT = re.compile(r" ?[\[({<] ?(?:dot|\.) ?[\])}>] ?", re.IGNORECASE)
+_LOOSE_CARD = re.compile(r"[0-9](?:[\x20\xA0./_-]{0,3}[0-9])+")
+_LOOSE_PHONE = re.compile(r"\(?[0-9]+(?:[\x20\xA0()./-]{1,3}[0-9]+){1,4}")
+_NUMBER_BEFORE = re.compile(r"[0-9][.:/,_-]?\Z")
+_NUMBER_AFTER = re.compile(r"[.:/,_-]?[0-9]")
+
+#: Least margin over no span, in nats, of a span that passes only the looser check.
+LOOSE_MARGIN = 0.5
+
+
+def loosely_valid(kind: int, found: str) -> bool:
+    """Whether ``found`` is a value of its kind in another spelling."""
+    if kind < 2:
+        plain = _SPELLED_DOT.sub(".", _SPELLED_AT.sub("@", found))
+        return valid(kind, plain) and (kind == 1 or plain.rpartition(".")[2].isalpha())
+    digits = _NOT_DIGIT.sub("", found)
+    if kind == 2:
+        return 13 <= len(digits) <= 19 and _LOOSE_CARD.fullmatch(found) is not None and luhn(digits)
+    uneven = len({len(g) for g in _NOT_DIGIT.split(found) if g}) > 1  # not a run of years or of thousands
+    return 9 <= len(digits) <= 15 and uneven and _LOOSE_PHONE.fullmatch(found) is not None and found.count("(") == found.count(")")
+
+
 def base_spans(text: str) -> list[Span]:
     """Leftmost matches of each kind that do not overlap, less those that fail the check."""
     spans = []
@@ -88,11 +120,15 @@ def base_spans(text: str) -> list[Span]:
 
 # Characters as classes.
 
-_CLASSES = {c: i for i, c in enumerate("0@.-_%+() \n,:;/", 2)}
+_CLASSES = {c: i for i, c in enumerate("0@.-_%+() \n,:;/[]", 2)}
 _TABLE = np.full(128, 1, np.int8)  # any other sign
 for _c, _i in _CLASSES.items():
     _TABLE[ord(_c)] = _i
 _TABLE[ord("0") : ord("9") + 1] = _CLASSES["0"]
+for _c in "{<":
+    _TABLE[ord(_c)] = _CLASSES["["]
+for _c in "}>":
+    _TABLE[ord(_c)] = _CLASSES["]"]
 LETTER, OTHER = len(_CLASSES) + 2, len(_CLASSES) + 3
 _TABLE[ord("a") : ord("z") + 1] = _TABLE[ord("A") : ord("Z") + 1] = LETTER
 N_CLASSES = OTHER + 1  # class 0 pads
@@ -120,46 +156,48 @@ def _sigmoid(x):
 
 @dataclass
 class Tagger:
-    """Parameters of the network: per direction input table, recurrence; output; transitions."""
+    """Parameters of the network: input table and recurrence of both directions; output; transitions."""
 
     params: dict[str, np.ndarray]
 
     @staticmethod
     def fresh(hidden: int, seed: int) -> Tagger:
         r = np.random.default_rng(seed)
-        p = {}
-        for d in "fb":
-            p[f"in_{d}"] = r.normal(0, 0.3, (N_CLASSES, 4 * hidden)).astype(np.float32)
-            p[f"in_{d}"][:, hidden : 2 * hidden] += 1  # forget gates start open
-            p[f"rec_{d}"] = r.normal(0, 1 / np.sqrt(hidden), (hidden, 4 * hidden)).astype(np.float32)
+        p = {"in": r.normal(0, 0.3, (2, N_CLASSES, 4 * hidden)).astype(np.float32)}
+        p["in"][:, :, hidden : 2 * hidden] += 1  # forget gates start open
+        p["rec"] = r.normal(0, 1 / np.sqrt(hidden), (2, hidden, 4 * hidden)).astype(np.float32)
         p["out"] = r.normal(0, 0.3, (2 * hidden, N_TAGS)).astype(np.float32)
         p["bias"] = np.zeros(N_TAGS, np.float32)
         p["move"] = np.zeros((N_TAGS, N_TAGS), np.float32)
         return Tagger(p)
 
-    def _pass(self, x: np.ndarray, d: str, keep: bool):
-        """Hidden states (time, batch, hidden) of one direction; what back-propagation needs if asked."""
-        table, rec = self.params[f"in_{d}"], self.params[f"rec_{d}"]
-        n, (steps, batch) = rec.shape[0], x.shape
-        out = np.empty((steps, batch, n), np.float32)
-        h, c, trace = np.zeros((batch, n), np.float32), np.zeros((batch, n), np.float32), []
-        for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            z = table[x[t]] + h @ rec
-            gate = _sigmoid(z[:, : 3 * n])
-            new = np.tanh(z[:, 3 * n :])
-            before, h_before = c, h
-            c = gate[:, n : 2 * n] * c + gate[:, :n] * new
+    def _pass(self, x: np.ndarray, keep: bool):
+        """Hidden states (direction, time, batch, hidden); what back-propagation needs if asked.
+
+        The second direction reads the windows from their ends, so its time runs backwards.
+        """
+        table, rec = self.params["in"], self.params["rec"]
+        n, (steps, batch) = rec.shape[1], x.shape
+        given = np.stack([table[0][x], table[1][x[::-1]]])
+        out = np.empty((2, steps, batch, n), np.float32)
+        h, c, trace = np.zeros((2, batch, n), np.float32), np.zeros((2, batch, n), np.float32), []
+        for t in range(steps):
+            z = given[:, t] + h @ rec
+            gate = _sigmoid(z[..., : 3 * n])
+            new = np.tanh(z[..., 3 * n :])
+            before = c
+            c = gate[..., n : 2 * n] * c + gate[..., :n] * new
             tc = np.tanh(c)
-            h = gate[:, 2 * n :] * tc
-            out[t] = h
+            h = gate[..., 2 * n :] * tc
+            out[:, t] = h
             if keep:
-                trace.append((t, gate, new, before, tc, h_before))
+                trace.append((gate, new, before, tc))
         return out, trace
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """(time, batch, tags) for classes (time, batch)."""
-        both = np.concatenate([self._pass(x, d, False)[0] for d in "fb"], axis=2)
-        return both @ self.params["out"] + self.params["bias"]
+        out, _ = self._pass(x, False)
+        return np.concatenate([out[0], out[1][::-1]], axis=2) @ self.params["out"] + self.params["bias"]
 
     def moves(self) -> np.ndarray:
         return np.where(_ALLOWED, self.params["move"], FORBIDDEN)
@@ -167,48 +205,49 @@ class Tagger:
     def step(self, x: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log likelihood of a batch, and gradients."""
         steps, batch = x.shape
-        runs = {d: self._pass(x, d, True) for d in "fb"}
-        both = np.concatenate([runs[d][0] for d in "fb"], axis=2)
+        out, trace = self._pass(x, True)
+        both = np.concatenate([out[0], out[1][::-1]], axis=2)
         e = both @ self.params["out"] + self.params["bias"]
-        move, n = self.moves(), self.params["rec_f"].shape[0]
+        n, weight = self.params["rec"].shape[1], np.exp(self.moves())  # 0 where forbidden
+        tiny = np.float32(1e-30)
         alpha, beta = np.empty_like(e), np.zeros_like(e)
         alpha[0] = np.where(_START, e[0], FORBIDDEN)
         for t in range(1, steps):
-            s = alpha[t - 1][:, :, None] + move[None]
-            top = s.max(axis=1)
-            alpha[t] = top + np.log(np.exp(s - top[:, None]).sum(axis=1)) + e[t]
+            top = alpha[t - 1].max(axis=1, keepdims=True)
+            alpha[t] = top + np.log(np.exp(alpha[t - 1] - top) @ weight + tiny) + e[t]
         for t in range(steps - 2, -1, -1):
-            s = move[None] + (e[t + 1] + beta[t + 1])[:, None, :]
-            top = s.max(axis=2)
-            beta[t] = top + np.log(np.exp(s - top[:, :, None]).sum(axis=2))
+            s = e[t + 1] + beta[t + 1]
+            top = s.max(axis=1, keepdims=True)
+            beta[t] = top + np.log(np.exp(s - top) @ weight.T + tiny)
         top = alpha[-1].max(axis=1)
         total = top + np.log(np.exp(alpha[-1] - top[:, None]).sum(axis=1))
-        at = np.arange(batch)
-        gold = sum(e[t][at, tags[t]] for t in range(steps)) + sum(move[tags[t - 1], tags[t]] for t in range(1, steps))
+        gold = np.take_along_axis(e, tags[:, :, None], axis=2)[:, :, 0].sum(axis=0) + self.moves()[tags[:-1], tags[1:]].sum(axis=0)
         d_e = np.exp(alpha + beta - total[None, :, None])
-        d_move = np.zeros_like(move)
-        for t in range(steps):
-            d_e[t][at, tags[t]] -= 1
-            if t:
-                pair = alpha[t - 1][:, :, None] + move[None] + (e[t] + beta[t])[:, None, :] - total[:, None, None]
-                d_move += np.exp(pair).sum(axis=0)
-                np.subtract.at(d_move, (tags[t - 1], tags[t]), 1)
+        np.put_along_axis(d_e, tags[:, :, None], np.take_along_axis(d_e, tags[:, :, None], axis=2) - 1, axis=2)
+        left, right = alpha[:-1], e[1:] + beta[1:]
+        top = left.max(axis=2, keepdims=True)
+        pairs = np.exp(left - top).reshape(-1, N_TAGS).T @ np.exp(right + top - total[None, :, None]).reshape(-1, N_TAGS)
+        d_move = pairs * weight
+        np.subtract.at(d_move, (tags[:-1].ravel(), tags[1:].ravel()), 1)
         d_e /= batch
-        grads = {"out": np.einsum("tbh,tbk->hk", both, d_e), "bias": d_e.sum(axis=(0, 1)), "move": np.where(_ALLOWED, d_move / batch, 0)}
+        grads = {"out": both.reshape(-1, 2 * n).T @ d_e.reshape(-1, N_TAGS), "bias": d_e.sum(axis=(0, 1)), "move": np.where(_ALLOWED, d_move / batch, 0)}
         d_both = d_e @ self.params["out"].T
-        for k, d in enumerate("fb"):
-            rec = self.params[f"rec_{d}"]
-            d_table, d_rec = np.zeros_like(self.params[f"in_{d}"]), np.zeros_like(rec)
-            d_h, d_c = np.zeros((batch, n), np.float32), np.zeros((batch, n), np.float32)
-            for t, gate, new, before, tc, h_before in reversed(runs[d][1]):
-                dh = d_both[t][:, k * n : (k + 1) * n] + d_h
-                dc = d_c + dh * gate[:, 2 * n :] * (1 - tc * tc)
-                d_gate = np.concatenate([dc * new, dc * before, dh * tc], axis=1) * gate * (1 - gate)
-                dz = np.concatenate([d_gate, dc * gate[:, :n] * (1 - new * new)], axis=1)
-                np.add.at(d_table, x[t], dz)
-                d_rec += h_before.T @ dz
-                d_h, d_c = dz @ rec.T, dc * gate[:, n : 2 * n]
-            grads[f"in_{d}"], grads[f"rec_{d}"] = d_table, d_rec
+        d_out = np.stack([d_both[:, :, :n], d_both[::-1, :, n:]])
+        back = self.params["rec"].transpose(0, 2, 1)
+        dz = np.empty((2, steps, batch, 4 * n), np.float32)
+        d_h, d_c = np.zeros((2, batch, n), np.float32), np.zeros((2, batch, n), np.float32)
+        for t in range(steps - 1, -1, -1):
+            gate, new, before, tc = trace[t]
+            dh = d_out[:, t] + d_h
+            dc = d_c + dh * gate[..., 2 * n :] * (1 - tc * tc)
+            d_gate = np.concatenate([dc * new, dc * before, dh * tc], axis=2) * gate * (1 - gate)
+            dz[:, t] = np.concatenate([d_gate, dc * gate[..., :n] * (1 - new * new)], axis=2)
+            d_h, d_c = dz[:, t] @ back, dc * gate[..., n : 2 * n]
+        flat = dz.reshape(2, -1, 4 * n)
+        earlier = np.concatenate([np.zeros((2, 1, batch, n), np.float32), out[:, :-1]], axis=1).reshape(2, -1, n)
+        grads["rec"] = earlier.transpose(0, 2, 1) @ flat
+        one_hot = np.eye(N_CLASSES, dtype=np.float32)
+        grads["in"] = np.stack([one_hot[x.ravel()].T @ flat[0], one_hot[x[::-1].ravel()].T @ flat[1]])
         return float((total - gold).mean()), grads
 
     def decode(self, x: np.ndarray) -> list[list[tuple[int, int, int, float]]]:
@@ -226,7 +265,9 @@ class Tagger:
         at = np.arange(batch)
         for t in range(steps - 1, 0, -1):
             tags[t - 1] = back[t][at, tags[t]]
+        # What each character of the path gains over no tag, the move into it included.
         margin = np.take_along_axis(e, tags[:, :, None].astype(np.int64), axis=2)[:, :, 0] - e[:, :, 0]
+        margin[1:] += move[tags[:-1], tags[1:]] - move[0, 0]
         found = []
         for b in range(batch):
             own, spans = tags[:, b], []
@@ -259,6 +300,40 @@ def _made_up(kind: int, r: random.Random) -> str:
     return code + r.choice([f" ({digits(3)}) {digits(3)}-{digits(4)}", f" {digits(3)} {digits(3)} {digits(4)}", f"-{digits(3)}-{digits(3)}-{digits(4)}", f" {digits(2)} {digits(4)} {digits(4)}", digits(9)])
 
 
+def _spelled(kind: int, r: random.Random) -> str:
+    """A value in a spelling that the base patterns miss."""
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    if kind == 0:
+        local, _, domain = _made_up(0, r).partition("@")
+        at = r.choice(["[at]", " [at] ", "(at)", " (at) ", "{at}", " <at> "])
+        return local + at + domain.replace(".", r.choice([".", "[dot]", " [dot] ", "(dot)", " (dot) ", "[.]"]))
+    if kind == 1:
+        return _made_up(1, r).replace(".", r.choice(["[.]", "(.)", "[dot]", "(dot)", " [.] "]))
+    if kind == 2:
+        number = _NOT_DIGIT.sub("", _made_up(2, r))
+        return r.choice([".", "/", "_", "  ", " - ", "\xa0"]).join(number[i : i + 4] for i in range(0, len(number), 4))
+    a, b, c = digits(3), digits(3), digits(4)
+    return r.choice([f"({a}) {b}-{c}", f"({a}) {b} {c}", f"({a}){b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a}/{b}{c}", f"0{digits(2)} {digits(4)} {c}", f"00{digits(2)} {a} {b}{c}"])
+
+
+def _no_value(r: random.Random) -> str:
+    """A number or sign that is no personal data."""
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    date = f"{r.randint(1900, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}"
+    return r.choice(
+        [
+            digits(r.randint(1, 12)), f"{r.randint(1, 31)}.{r.randint(1, 12)}.{r.randint(1990, 2030)}", f"{r.random():.3f}",
+            f"v{r.randint(1, 9)}.{r.randint(0, 9)}", f"{r.randint(0, 23)}:{r.randint(10, 59)}", f"@{r.choice('abc')}x",
+            date, f"{date} {digits(2)}:{digits(2)}:{digits(2)}", f"{date}T{digits(2)}:{digits(2)}Z", f"{r.randint(1, 12)}/{r.randint(1, 28)}/{r.randint(1990, 2030)}",
+            f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", f"{digits(3)}-{digits(2)}-{digits(4)}", f"{r.randint(1, 999):,}" + "".join(f",{digits(3)}" for _ in range(r.randint(1, 3))),
+            " ".join([digits(r.randint(1, 3)), *(digits(3) for _ in range(r.randint(1, 3)))]), f"{digits(r.randint(2, 4))}-{digits(r.randint(2, 4))}",
+            " ".join(str(r.randint(1900, 2030)) for _ in range(r.randint(2, 3))), ", ".join(digits(r.randint(1, 4)) for _ in range(r.randint(2, 5))),
+            f"({r.randint(1900, 2030)})", f"[{digits(r.randint(1, 2))}]", f"${digits(2)}.{digits(2)}", ".".join(digits(1) for _ in range(r.choice([3, 5, 6]))),
+            " (at) ", " [at] ", f"{digits(2)}AB-{digits(4)}-{digits(4)}", f"1-{digits(3)}",
+        ]
+    )
+
+
 def labelled_windows(texts: list[str], n: int, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes and tags (time, window) of ``n`` windows."""
     r = random.Random(seed)
@@ -294,21 +369,21 @@ def labelled_windows(texts: list[str], n: int, width: int, seed: int) -> tuple[n
             left, right = _ANCHOR.sub("", left), _ANCHOR.sub("", right)
         mode = r.random()
         made, spans = left + r.choice([" ", " ", "\n", ": "]), []
-        if mode < 0.8:
+        if mode < 0.7:
             for _ in range(r.choice([1, 1, 2, 2, 3, 4])):
-                kind = r.randrange(4)
-                value = _made_up(kind, r)
+                kind = r.choice((0, 1, 2, 3, 3, 3))  # phones have the most forms
+                value = r.choice([_made_up, _spelled])(kind, r)
                 spans.append((kind, len(made), len(made) + len(value)))
                 made += value + r.choice([" ", " ", " ", ", ", "\n", "; "])
         else:  # numbers that are no personal data
             for _ in range(r.choice([1, 2, 3])):
-                made += r.choice([str(r.randint(1, 99999)), f"{r.randint(1, 31)}.{r.randint(1, 12)}.{r.randint(1990, 2030)}", f"{r.random():.3f}", f"v{r.randint(1, 9)}.{r.randint(0, 9)}", f"{r.randint(0, 23)}:{r.randint(10, 59)}", f"@{r.choice('abc')}x"]) + r.choice([" ", ", ", " the "])
+                made += _no_value(r) + r.choice([" ", ", ", " the ", ". "])
         made += right
         add(made, spans, max(0, len(left) - r.randint(0, width // 2)))
     return np.array(xs).T.copy(), np.array(ys).T.copy()
 
 
-def train_tagger(texts: list[str], hidden: int = 24, windows: int = 4000, width: int = 64, rounds: int = 8, seed: int = 5) -> Tagger:
+def train_tagger(texts: list[str], hidden: int = 24, windows: int = 8000, width: int = 96, rounds: int = 6, seed: int = 5) -> Tagger:
     x, y = labelled_windows(texts, windows, width, seed)
     model, batch = Tagger.fresh(hidden, seed), 64
     m = {k: np.zeros_like(v) for k, v in model.params.items()}
@@ -320,8 +395,9 @@ def train_tagger(texts: list[str], hidden: int = 24, windows: int = 4000, width:
             step += 1
             _, grads = model.step(x[:, part], y[:, part].astype(np.int64))
             size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            rate = 0.01 * (1 - 0.9 * step / total) * min(1, 5 / (size + 1e-9))
+            rate = 0.01 * (1 - 0.95 * step / total)
             for k, g in grads.items():
+                g = g * min(1, 5 / (size + 1e-9))
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v2[k] = 0.99 * v2[k] + 0.01 * g * g
                 model.params[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
@@ -393,10 +469,16 @@ def find_spans(texts: list[str], model: Tagger, width: int = 96, reach: int = 40
                 a += 1
             while b > a and text[b - 1] in " \n,;:.-(+":
                 b -= 1
-            if a < b and valid(kind, text[a:b]) and not any(x < b and a < y for _, x, y in own):
-                # Part of a longer number is no find of its own.
-                if not (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit()):
-                    checked.append((kind, a, b, score))
+            if a >= b or any(x < b and a < y for _, x, y in own):
+                continue
+            # Part of a longer number is no find of its own.
+            if valid(kind, text[a:b]):
+                whole = not (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit())
+            else:
+                whole = score >= LOOSE_MARGIN and loosely_valid(kind, text[a:b])
+                whole = whole and not (_NUMBER_BEFORE.search(text[max(0, a - 2) : a]) or _NUMBER_AFTER.match(text, b))
+            if whole:
+                checked.append((kind, a, b, score))
         out.append((own, reconcile(checked)))
     return out
 

@@ -131,6 +131,36 @@ def test_tagger_on_held_out_spans(tagger):
     assert found / total > 0.85 and wrong / total < 0.02
 
 
+def test_tagger_finds_spellings_the_patterns_miss(tagger):
+    r, found, planted, named = random.Random(9), [0] * 4, [0] * 4, 0
+    for _ in range(400):
+        kind, head = r.randrange(4), words(r, 8) + " "
+        value = pii._spelled(kind, r)
+        base, more = pii.find_spans([f"{head}{value} {words(r, 8)}"], tagger)[0]
+        assert (kind, len(head), len(head) + len(value)) not in base
+        planted[kind] += 1
+        found[kind] += (kind, len(head), len(head) + len(value)) in more
+        named += len(more)
+    recall = [f / p for f, p in zip(found, planted, strict=True)]
+    assert min(recall) > 0.85 and sum(found) / named > 0.97, (recall, sum(found) / named)
+    wrong = [m for _ in range(600) for m in pii.find_spans([f"{words(r, 8)} {pii._no_value(r)} {words(r, 8)}"], tagger)[0][1]]
+    assert len(wrong) <= 6
+
+
+def test_looser_checks_hold_by_kind():
+    good = [(0, "ann.lee [at] host [dot] org"), (0, "a(at)b.co"), (1, "10[.]0[.]0[.]1"), (2, "4524.1322.6465.2876"), (3, "(269) 555-3296"), (3, "0269/5553296")]
+    bad = [(0, "ann at host dot org"), (0, "a[at]b.7"), (1, "10[.]0[.]0[.]256"), (2, "4524.1322.6465.2877"), (3, "1990 1991 1992"), (3, "(269 555-3296"), (3, "555-3296")]
+    assert all(pii.loosely_valid(k, v) for k, v in good) and not any(pii.loosely_valid(k, v) for k, v in bad)
+
+
+def test_personal_data_of_an_empty_table_and_a_very_long_text(spark):
+    assert pii.find_personal_data(docs(spark, [])).collect() == []
+    text = "word " * 60_000 + "mail ann@host.org or call (269) 555-3296 now"
+    (row,) = pii.find_personal_data(docs(spark, [(1, text)])).collect()
+    at, call = text.index("ann@"), text.index("(269)")
+    assert row["spans"] == f"email:{at}:{at + 12},phone:{call}:{call + 14}"
+
+
 def test_tagger_parts_what_a_pattern_swallows(tagger):
     text = "call +1 (269) 555-3296 4524132264652876 today"
     base, more = pii.find_spans([text], tagger)[0]
