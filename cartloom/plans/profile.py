@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions import exact_sum
 from cartloom.operators import summarise
-from cartloom.operators.quantile import BIN_MEASURES, first_bin
 from cartloom.plans.quality import missing_columns, unique
-from cartloom.sinks.scratch import written_once
 
 
 def table_shape(tables: dict[str, DataFrame]) -> DataFrame:
@@ -48,6 +46,9 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
 DESCRIBED = "column string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
 
 
+PROFILED = "table string, part string, item string, measure string, value double, text string"
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact interpolated quartiles per column."""
     rows = []
@@ -95,64 +96,43 @@ def profile_rows(
 ) -> DataFrame:
     """All profiles of a table in one long frame (table, part, item, measure, value, text).
 
-    One scan deals every row out to small entries, such as its bin in the histogram of a number,
-    its key or its missing cells, and counts equal entries within the tasks first. The counts are
-    written once, and all profiles but exact quartiles come from them; those scan their columns
-    once or twice more. Parts: shape, nulls (columns with missing values), duplicates, describe,
-    frequency, totals and range.
+    One scan takes everything that needs no grouping; exact quartiles take one for the first
+    histogram and one to three that look only at the rows around a wanted rank. Keys and frequent
+    values are counted by groups of their own, which read their columns alone. Parts: shape, nulls
+    (columns with missing values), duplicates, describe, frequency, totals and range.
     """
     keys = () if missing_columns(df, keys) else keys
-    none = "cast(null as double)"
-    entry = "named_struct('part', {}, 'item', {}, 'bucket', {}, 'value', {})".format
-    entries = [entry("'rows'", "''", "cast(null as string)", none)]
-    for name, kind in df.dtypes:
+    measured = {"rows": "count(1)"}
+    for i, (name, kind) in enumerate(df.dtypes):
         missing = f"`{name}` is null" + (f" or isnan(`{name}`)" if kind in ("double", "float") else "")
-        entries.append(f"if({missing}, {entry(repr('null'), repr(name), 'cast(null as string)', none)}, null)")
-    for name in numbers:
-        v, log_bin = first_bin(name)
-        entries.append(f"if({v} is null, null, {entry(repr('bin'), repr(name), f'cast({log_bin} as string)', v)})")
-    if keys:
-        entries.append(entry("'key'", "''", f"to_json(struct({', '.join(f'`{k}`' for k in keys)}))", none))
-    if frequency in df.columns:
-        entries.append(f"if(`{frequency}` is null, null, {entry(repr('value'), repr(frequency), f'cast(`{frequency}` as string)', none)})")
-    for name in totals:
-        entries.append(f"if({totals_where}, {entry(repr('total'), repr(name), 'cast(null as string)', f'cast(`{name}` as double)')}, null)")
+        measured[f"null{i}"] = f"count_if({missing})"
+    if totals:
+        measured["counted"] = f"count_if({totals_where})"
     if dates in df.columns:
-        entries.append(entry("'date'", repr(dates), "cast(null as string)", f"cast(unix_date(`{dates}`) as double)"))
-    dealt = df.selectExpr(f"inline(filter(array({', '.join(entries)}), e -> e is not null))")
-    counts = dealt.groupBy("part", "item", "bucket").agg(
-        F.expr("count(1) as n"), exact_sum("value").alias("total"), *[F.expr(f"{m} as {name}") for name, m in BIN_MEASURES.items()]
-    )
-    counts = written_once(counts, "profile")
-
-    def rows(part: str, measure: str, value: str, where: str, item: str = "item", text: str = "cast(null as string)") -> DataFrame:
-        named = f"'{table}' as table", f"'{part}' as part", f"{item} as item", f"'{measure}' as measure", f"cast({value} as double) as value", f"{text} as text"
-        return counts.where(where).selectExpr(*named)
+        measured |= {f"{m}_date": f"cast({m}(date_from_unix_date(unix_date(`{dates}`))) as string)" for m in ("min", "max")}
+    amounts = [f"if({totals_where}, cast(`{name}` as double), null) as _amount{i}" for i, name in enumerate(totals)]
+    sums = [exact_sum(f"_amount{i}").alias(f"total{i}") for i in range(len(totals))]
+    once = df.selectExpr("*", *amounts).agg(*[F.expr(e).alias(m) for m, e in measured.items()], *sums).first()
+
+    known = [("shape", "", "rows", float(once["rows"]), None), ("shape", "", "columns", float(len(df.columns)), None)]
+    known += [("nulls", name, "count", float(once[f"null{i}"]), None) for i, name in enumerate(df.columns) if once[f"null{i}"]]
+    if totals and once["counted"]:
+        known += [("totals", name, "sum", once[f"total{i}"], None) for i, name in enumerate(totals)]
+    if dates in df.columns and once["min_date"] is not None:
+        known += [("range", dates, m, None, once[f"{m}_date"]) for m in ("min", "max")]
+    for c, s in summarise(df, list(numbers), [0.25, 0.5, 0.75]).items():
+        measures = {"count": float(s.count), "mean": s.mean, "std": s.std, "min": s.min, "max": s.max}
+        measures |= {f"q{round(100 * p)}": s.quantiles.get(p) for p in (0.25, 0.5, 0.75)}
+        known += [("describe", c, m, v, None) for m, v in measures.items()]
+    frames = [df.sparkSession.createDataFrame([(table, *k) for k in known], PROFILED)]
 
     whole = f"'{table}' as table", "part", "item", "measure", "value", "text"
-    shape = counts.where("part = 'rows'").agg(F.expr("coalesce(sum(n), 0) as rows")).selectExpr(
-        f"inline(array(named_struct('part', 'shape', 'item', '', 'measure', 'rows', 'value', cast(rows as double), 'text', cast(null as string)),"
-        f" named_struct('part', 'shape', 'item', '', 'measure', 'columns', 'value', {len(df.columns)}D, 'text', cast(null as string))))"
-    )
-    frames = [shape.selectExpr(*whole), rows("nulls", "count", "n", "part = 'null'")]
     if keys:
-        repeats = counts.where("part = 'key'").agg(F.expr("cast(coalesce(sum(n - 1), 0) as double) as value"))
+        repeats = df.groupBy(*keys).agg(F.expr("count(1) as n")).agg(F.expr("cast(coalesce(sum(n - 1), 0) as double) as value"))
         frames.append(repeats.selectExpr("'duplicates' as part", f"'{','.join(keys)}' as item", "'count' as measure", "value", "cast(null as string) as text").selectExpr(*whole))
     if frequency in df.columns:
-        values = counts.where("part = 'value'").orderBy(F.desc("n"), F.asc("bucket"))
+        counts = df.where(f"`{frequency}` is not null").groupBy(F.expr(f"cast(`{frequency}` as string)").alias("text")).agg(F.expr("count(1) as n"))
+        values = counts.orderBy(F.desc("n"), F.asc("text"))
         values = values if top is None else values.limit(top)
-        frames.append(values.selectExpr("'frequency' as part", "item", "'count' as measure", "cast(n as double) as value", "bucket as text").selectExpr(*whole))
-    frames += [rows("totals", "sum", "total", "part = 'total'")] if totals else []
-    if dates in df.columns:
-        day = "cast(date_from_unix_date(cast({} as int)) as string)".format
-        known = "part = 'date' and lo is not null"
-        frames += [rows("range", m, "null", known, text=day(c)) for m, c in (("min", "lo"), ("max", "hi"))]
-    if numbers:
-        first = counts.where("part = 'bin'").selectExpr("item as column", "0 as part", "cast(bucket as bigint) as bin", "n", *BIN_MEASURES)
-        described = []
-        for c, s in summarise(df, list(numbers), [0.25, 0.5, 0.75], first).items():
-            measures = {"count": float(s.count), "mean": s.mean, "std": s.std, "min": s.min, "max": s.max}
-            measures |= {f"q{round(100 * p)}": s.quantiles.get(p) for p in (0.25, 0.5, 0.75)}
-            described += [(table, "describe", c, m, v, None) for m, v in measures.items()]
-        frames.append(df.sparkSession.createDataFrame(described, "table string, part string, item string, measure string, value double, text string"))
+        frames.append(values.selectExpr("'frequency' as part", f"'{frequency}' as item", "'count' as measure", "cast(n as double) as value", "text").selectExpr(*whole))
     return reduce(DataFrame.unionByName, frames)

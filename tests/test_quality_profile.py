@@ -4,8 +4,10 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import plan, rows
+from pyspark.sql import functions as F
 
+from cartloom.operators import histogram
 from cartloom.params import JobParams
 from cartloom.plans import profile, quality
 from cartloom.plans.quality import DataQualityError
@@ -150,3 +152,33 @@ def test_overview_parts(spark):
     assert overview["duplicates"].first().duplicates == 1
     assert overview["null_counts"].count() == 0
     assert "duplicates" not in profile.table_overview("t", df, ["missing"])
+
+
+def test_profile_rows_count_keys_apart_from_numbers(spark):
+    """Only counts of a key are shuffled for it; odd rows are profiled as they are."""
+    data = [("a", 1.5, "x", 1), ("a", float("nan"), "x", 1), (None, None, None, None), (None, -2.0, "y", 0)]
+    df = spark.createDataFrame(data, "k string, v double, s string, n int")
+    found = profile.profile_rows("t", df, ("k",), ("v",), "s", 1, ("v",), "n = 1", None)
+    assert "to_json" not in plan(found) and "keys=[k#" in plan(found)
+    got = {(r.part, r.item, r.measure, r.text): r.value for r in found.collect()}
+    assert {k: v for k, v in got.items() if k[0] != "describe"} == {
+        ("shape", "", "rows", None): 4.0,
+        ("shape", "", "columns", None): 4.0,
+        ("nulls", "k", "count", None): 2.0,
+        ("nulls", "v", "count", None): 2.0,
+        ("nulls", "s", "count", None): 1.0,
+        ("nulls", "n", "count", None): 1.0,
+        ("totals", "v", "sum", None): 1.5,
+        ("duplicates", "k", "count", None): 2.0,
+        ("frequency", "s", "count", "x"): 2.0,
+    }
+    described = {m: v for (part, _, m, _), v in got.items() if part == "describe"}
+    assert described == {"count": 2.0, "mean": -0.25, "std": pytest.approx(2.4748737), "min": -2.0, "max": 1.5, "q25": -1.125, "q50": -0.25, "q75": 0.625}
+
+
+def test_narrowing_passes_over_rows_outside_the_ranges(spark):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"), (F.col("id") * 2.0).alias("y"))
+    narrow = histogram(df, ["x", "y"], {"x": [(10.0, 20.0)], "y": [(30.0, 50.0), (100.0, 101.0)]})
+    assert {(r["column"], r["part"]): r["n"] for r in narrow.groupBy("column", "part").agg(F.sum("n").alias("n")).collect()} == {("x", 0): 11, ("y", 0): 11, ("y", 1): 1}
+    text = plan(narrow)
+    assert "Filter" in text[text.index("Generate") :]  # plans are read from below
