@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.llm.components import connected_components
-from cartloom.llm.tables import Scratch
+from cartloom.llm.tables import Scratch, returning_memory
 from cartloom.operators.skew import hot_keys, salted_join, with_row_salt
 
 U = np.uint64
@@ -267,7 +267,7 @@ def near_duplicates(
     texts = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("txt")
     )
-    sketched = scratch.keep(texts.mapInArrow(_sketched(sketch), "doc_id long, n_shingles long, class long, keys array<long>"))
+    sketched = scratch.keep(texts.mapInArrow(returning_memory(_sketched(sketch)), "doc_id long, n_shingles long, class long, keys array<long>"))
     plain = sketched.select("doc_id", "n_shingles", "class")
     reps = plain.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
 
@@ -300,7 +300,7 @@ def near_duplicates(
     )
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     again = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("txt")
-    sets = again.mapInArrow(_full_sets(sketch), "class long, set binary").dropDuplicates(["class"])
+    sets = again.mapInArrow(returning_memory(_full_sets(sketch)), "class long, set binary").dropDuplicates(["class"])
     dealt = sets.join(members, "class").select(
         "class", "set", "cluster", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     )

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.tables import bounded_sample
+from cartloom.llm.tables import bounded_sample, returning_memory
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # kind, start, end
@@ -541,4 +541,4 @@ def find_personal_data(
     for name in ("base", "spans", "redacted"):
         out = out.add(name, "string")
     names = out.names
-    return given.mapInArrow(run, out)
+    return given.mapInArrow(returning_memory(run), out)

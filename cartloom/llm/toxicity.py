@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.tables import Scratch, bounded_sample
+from cartloom.llm.tables import Scratch, bounded_sample, returning_memory
 
 WORD = re.compile(r"[^\W\d_]+")
 BITS = 18
@@ -122,7 +122,7 @@ def train(
     if len(n) < 2:
         return None
     counted = (
-        held.mapInArrow(_extracted(None), "toxic int, features array<int>")
+        held.mapInArrow(returning_memory(_extracted(None)), "toxic int, features array<int>")
         .select("toxic", F.explode("features").alias("feature"))
         .groupBy("feature")
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("all"))
@@ -134,7 +134,7 @@ def train(
         return None
     chosen = np.array(sorted(r["feature"] for r in best), np.int64)
     markers = {r["feature"] for r in best if r["feature"] % 4 == 0 and (r["bad"] + 1) / (r["all"] + 2) >= 0.9}
-    rows = held.mapInArrow(_extracted(chosen), "toxic int, features array<int>").toArrow().to_pylist()
+    rows = held.mapInArrow(returning_memory(_extracted(chosen)), "toxic int, features array<int>").toArrow().to_pylist()
     lists = [r["features"] for r in rows]
     strong = np.array([sum(f in markers for f in x) for x in lists])
     grades = np.array([r["toxic"] for r in rows]) * (1 + (strong >= 2) + (strong >= 4))
@@ -186,4 +186,4 @@ def grade_toxicity(
     for name, kind in (("severity", "double"), ("grade", "integer"), ("p_toxic", "double"), ("rejected", "boolean")):
         out = out.add(name, kind)
     names = out.names
-    return given.mapInArrow(run, out)
+    return given.mapInArrow(returning_memory(run), out)

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, shards, topk, toxicity
+from cartloom.llm import chat, licenses, minhash, mixing, packing, pii, quality, shards, tables, topk, toxicity
 from cartloom.llm.components import connected_components
 from cartloom.llm.tables import Scratch
 
@@ -570,3 +570,51 @@ def test_cached_word_ids_equal_the_tokenizers():
 
 def test_hashes_are_stable():
     assert hashlib.sha256(minhash.Sketch(5, 30, 4, 7).factors.tobytes()).hexdigest() == hashlib.sha256(minhash.Sketch(5, 30, 4, 7).factors.tobytes()).hexdigest()
+
+
+def test_workers_give_freed_memory_back_after_each_task(monkeypatch):
+    events = []
+    monkeypatch.setattr(tables, "release_memory", lambda: events.append("released"))
+
+    def task(batches):
+        for b in batches:
+            events.append(b)
+            yield b
+
+    assert list(tables.returning_memory(task)(iter([1, 2]))) == [1, 2]
+    assert events == [1, 2, "released"]
+
+    def fails(batches):
+        raise ValueError
+        yield
+
+    with pytest.raises(ValueError):
+        list(tables.returning_memory(fails)(iter([])))
+    assert events[-1] == "released" and len(events) == 4
+    monkeypatch.undo()
+    tables.release_memory()
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "minhash", "pii", "packing"])
+def test_stages_of_the_pipeline_return_memory(spark, monkeypatch, stage):
+    module, wrapped = {"toxicity": toxicity, "minhash": minhash, "pii": pii, "packing": packing}[stage], []
+    monkeypatch.setattr(module, "returning_memory", lambda task: wrapped.append(task) or tables.returning_memory(task))
+    docs = spark.createDataFrame([(i, f"some words of text number {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(20)], "doc_id long, toxic double")
+    run = {
+        "toxicity": lambda: toxicity.grade_toxicity(docs, labels),
+        "minhash": lambda: minhash.near_duplicates(docs),
+        "pii": lambda: pii.find_personal_data(docs),
+        "packing": lambda: packing.pack_documents(docs),
+    }[stage]
+    assert run().count() >= 1 and wrapped
+
+
+def test_word_tokenizer_keeps_one_vocabulary_and_writes_new_words_at_once():
+    t = packing.WordTokenizer(None)
+    assert t.cut_words.get_vocab_size(with_added_tokens=True) == t.model.get_vocab_size(with_added_tokens=False)
+    assert t._written(["ab", "c.d"]) == "ab c.d"
+    assert t._written(["é", "\x00"]) == "Ã© Ā"
+    for text in ("Don't I'LL 'S 1's \x1c'tx\x7f", "ab\tcd\x0bef", "é\xa0ß 's’s", "\x00\x1f 'S", " \n", ""):
+        assert t.encode(text) == t._whole(text)
+        assert t.encode(text) == t._whole(text)  # with all words known
