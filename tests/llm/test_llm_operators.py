@@ -618,3 +618,42 @@ def test_word_tokenizer_keeps_one_vocabulary_and_writes_new_words_at_once():
     for text in ("Don't I'LL 'S 1's \x1c'tx\x7f", "ab\tcd\x0bef", "é\xa0ß 's’s", "\x00\x1f 'S", " \n", ""):
         assert t.encode(text) == t._whole(text)
         assert t.encode(text) == t._whole(text)  # with all words known
+
+
+ODD_TEXTS = [
+    "Don't stop, I'LL go. 'S 1's ab12 #tag| x", "", "  \t ", " two  runs\n", "ab\x1ccd\x1f \x00 'tx\x7f", "é\xa0ß\x85'sñ 12²", "ñandú, ÜBER's",
+    "Привет, мир! 東京 ひらがな 한국 12", "İstanbul ς", "a <|endoftext|> b", "\x85", "é x", "same same, same", " wide gap",
+]
+
+
+def test_word_tokenizer_encodes_the_texts_of_a_group_in_one_call():
+    t, calls = packing.WordTokenizer(None), []
+    wanted = [t._whole(x) for x in ODD_TEXTS]
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(texts)
+            return cut_words.encode_batch_fast(texts, **options)
+
+    cut_words, t.cut_words = t.cut_words, Counted()
+    assert t.encode_all(ODD_TEXTS) == wanted and len(calls) == 1
+    assert t.encode_all(ODD_TEXTS[::-1]) == wanted[::-1] and len(calls) == 1
+    assert t.encode_all([]) == [] and t.encode_all(["", "İ"]) == [b"", t._whole("İ")]
+    t.most = 3
+    assert [t.encode_all([x])[0] for x in ODD_TEXTS * 2] == wanted * 2
+    assert len(t.young) <= 40
+    t.young, t.old, t.ends = {}, {}, np.zeros_like(t.ends)  # as if the vocabulary cut words in another way
+    assert t.encode_all(ODD_TEXTS) == wanted
+
+
+@pytest.mark.parametrize("together", [1, 30, 10_000])
+def test_groups_of_texts_keep_their_order(monkeypatch, together):
+    import pyarrow as pa
+
+    t, sizes = packing.WordTokenizer(None), []
+    encode_all = t.encode_all
+    monkeypatch.setattr(packing, "TOGETHER", together)
+    monkeypatch.setattr(t, "encode_all", lambda texts: sizes.append(sum(map(len, texts))) or encode_all(texts))
+    assert list(packing._encoded(t, pa.array(ODD_TEXTS))) == [t._whole(x) for x in ODD_TEXTS]
+    assert all(s <= max(together, max(map(len, ODD_TEXTS))) for s in sizes)
+    assert list(packing._encoded(t, pa.array([], pa.string()))) == []
