@@ -14,14 +14,28 @@ from cartloom.llm import minhash, mixing, packing, pii, toxicity
 from cartloom.llm.tables import Scratch, read_table
 
 
+#: Rows of an Arrow batch. Documents are long: with Spark's own 10,000 the JVM and its Python workers
+#: hold tens of MB a task several times over, and keep them for the stages that follow.
+BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session; a smaller bound stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:
+        spark.conf.set(name, BATCH)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that are not rejected as toxic."""
+    small_batches(spark)
     graded = toxicity.grade_toxicity(docs, read_table(spark, folder, "labels"), with_rows=True)
     return graded.where("not rejected").select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates; repeated rows count as one."""
+    small_batches(spark)
     kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
     return stays.dropDuplicates(["doc_id", "text"])
@@ -29,6 +43,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, with personal data masked and ``n_chars`` counted anew."""
+    small_batches(spark)
     found = pii.find_personal_data(docs, with_rows=True).select("row", "redacted", "spans")
     masked = F.when(F.col("spans") == "", F.col("row.text")).otherwise(F.col("redacted"))
     changed = {"text": masked, "n_chars": F.when(F.col("spans") == "", F.col("row.n_chars")).otherwise(F.length("redacted"))}
@@ -48,6 +63,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of documents with their place in training sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 

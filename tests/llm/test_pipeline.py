@@ -56,3 +56,29 @@ def test_mixing_keeps_good_documents(spark, stages):
 
 def test_every_document_is_packed(stages):
     assert stages["packing"].select("doc_id").distinct().count() == stages["mixing"].select("doc_id").distinct().count()
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "near_duplicates", "personal_data", "packing"])
+def test_stages_bound_their_arrow_batches(spark, monkeypatch, stage):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    modules = {"toxicity": corpus_pipeline.toxicity, "near_duplicates": corpus_pipeline.minhash, "personal_data": corpus_pipeline.pii, "packing": corpus_pipeline.packing}
+
+    class Reached(Exception):
+        pass
+
+    def operator(*args, **options):
+        seen.append(int(spark.conf.get(name)))
+        raise Reached
+
+    called = {"toxicity": "grade_toxicity", "near_duplicates": "near_duplicates", "personal_data": "find_personal_data", "packing": "pack_documents"}
+    monkeypatch.setattr(modules[stage], called[stage], operator)
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    try:
+        for given in ("10000", "7", "0"):
+            spark.conf.set(name, given)
+            with pytest.raises(Reached):
+                dict(corpus_pipeline.STAGES)[stage](spark, docs, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set(name, before)
+    assert seen == [corpus_pipeline.BATCH, 7, corpus_pipeline.BATCH]
