@@ -14,16 +14,17 @@ from cartloom.llm import minhash, mixing, packing, pii, toxicity
 from cartloom.llm.tables import Scratch, read_table
 
 
-#: Rows of an Arrow batch. Documents are long: with Spark's own 10,000 the JVM and its Python workers
-#: hold tens of MB a task several times over, and keep them for the stages that follow.
-BATCH = 500
+#: Rows of an Arrow batch, and of a batch of the Parquet reader. Documents are long: with Spark's own
+#: 10,000 and 4,096 the JVM and its Python workers hold tens of MB a task several times over, in arrays
+#: that each need a stretch of the heap for themselves, and keep them for the stages that follow.
+BATCH, READ = 250, 128
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of the session; a smaller bound stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH:
-        spark.conf.set(name, BATCH)
+    """Bounds the Arrow and reader batches of the session; a smaller bound stays."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH), ("spark.sql.parquet.columnarReaderBatchSize", READ)):
+        if not 0 < int(spark.conf.get(name)) <= most:
+            spark.conf.set(name, most)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -56,6 +57,7 @@ FACTORS = {f"{lang}-junk": 0.25 for lang in ("en", "de", "fr", "es")}
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents drawn at their rates, which are at most 1: none is repeated."""
+    small_batches(spark)
     targets = mixing.Targets(factors=FACTORS, by_text=True)
     mixed = mixing.mix_sources(docs, read_table(spark, folder, "labels"), targets, most=1.0, with_rows=True)
     return mixed.where("copies > 0").select("row.*")

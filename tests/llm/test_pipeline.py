@@ -82,3 +82,36 @@ def test_stages_bound_their_arrow_batches(spark, monkeypatch, stage):
     finally:
         spark.conf.set(name, before)
     assert seen == [corpus_pipeline.BATCH, 7, corpus_pipeline.BATCH]
+
+
+@pytest.mark.parametrize("stage", list(dict(corpus_pipeline.STAGES)))
+def test_stages_bound_the_batches_of_the_reader(spark, monkeypatch, stage):
+    name, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+    both = [name, "spark.sql.execution.arrow.maxRecordsPerBatch"]
+    before = {x: spark.conf.get(x) for x in both}
+    operators = {
+        "toxicity": (corpus_pipeline.toxicity, "grade_toxicity"),
+        "near_duplicates": (corpus_pipeline.minhash, "near_duplicates"),
+        "personal_data": (corpus_pipeline.pii, "find_personal_data"),
+        "mixing": (corpus_pipeline.mixing, "mix_sources"),
+        "packing": (corpus_pipeline.packing, "pack_documents"),
+    }
+
+    class Reached(Exception):
+        pass
+
+    def operator(*args, **options):
+        seen.append(int(spark.conf.get(name)))
+        raise Reached
+
+    monkeypatch.setattr(*operators[stage], operator)
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    try:
+        for given in ("4096", "7"):
+            spark.conf.set(name, given)
+            with pytest.raises(Reached):
+                dict(corpus_pipeline.STAGES)[stage](spark, docs, "/root/testdata/sf0.001")
+    finally:
+        for x in both:
+            spark.conf.set(x, before[x])
+    assert seen == [corpus_pipeline.READ, 7]
